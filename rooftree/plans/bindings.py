@@ -59,8 +59,8 @@ LISTING = {k: _g(v) for k, v in {
     "comments": "CASE WHEN o_orderstatus <> 'P' THEN NULL ELSE CASE {g} % 3 WHEN 0 THEN 'rent_price_too_high' "
                 "WHEN 1 THEN 'not_apartment' ELSE 'area_too_big' END END",
     "data_completeness": "({g} * 37) % 101",
-    "created_at": "CAST(o_orderdate AS TIMESTAMP) - INTERVAL 10 DAYS",
-    "updated_at": "CASE WHEN {g} % 37 = 9 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END",
+    "created_at": "o_orderdate - INTERVAL 10 DAYS",
+    "updated_at": "CASE WHEN {g} % 37 = 9 THEN NULL ELSE o_orderdate END",
 }.items()}
 
 # same catalog seen again: every order, some under a new key, some fields blank or changed
@@ -73,18 +73,18 @@ INCOMING.update({k: _g(v) for k, v in {
     "agent_type": "CASE WHEN {g} % 2 = 0 THEN 'unknown' ELSE 'agency' END",
     "agent_phone": "CASE WHEN {g} % 2 = 1 THEN '' ELSE '+380' || CAST(600000000 + {g} AS STRING) END",
     "status": "'active'",
-    "updated_at": "CAST(o_orderdate AS TIMESTAMP) + INTERVAL 30 DAYS",
+    "updated_at": "o_orderdate + INTERVAL 30 DAYS",
     "is_valid": "{g} % 10 <> 4",
 }.items()})
 
-CHECK = {"event_id": "event_id", "listing_id": "user_id", "checked_at": "CAST(ts AS TIMESTAMP)",
+CHECK = {"event_id": "event_id", "listing_id": "user_id", "checked_at": "ts",
          "http_status": "CASE event_type WHEN 'error' THEN 404 WHEN 'signup' THEN 429 WHEN 'purchase' THEN NULL ELSE 200 END",
          "source": "CASE WHEN user_id % 3 = 0 THEN 'rieltor' ELSE 'olx' END",
          "operation": "CASE WHEN user_id % 2 = 0 THEN 'rent' ELSE 'buy' END"}
 
 PHOTO = {"listing_id": "l_orderkey",
          "url": "CASE WHEN l_returnflag = 'R' THEN 'http' ELSE 'https' END || '://cdn.example/' || CAST(l_partkey AS STRING) || '.jpg'",
-         "pos": "l_linenumber", "tie": "l_partkey * 1000 + l_suppkey", "shipped": "CAST(l_shipdate AS TIMESTAMP)"}
+         "pos": "l_linenumber", "tie": "l_partkey * 1000 + l_suppkey", "shipped": "l_shipdate"}
 
 MEDIA = {"url": "'https://cdn.example/' || CAST(p_partkey AS STRING) || '.jpg'",
          "status": "CASE WHEN p_size <= 30 THEN 'archived' WHEN p_size <= 36 THEN 'gone' WHEN p_size <= 42 THEN 'retry' ELSE 'pending' END",
@@ -95,7 +95,7 @@ MEDIA = {"url": "'https://cdn.example/' || CAST(p_partkey AS STRING) || '.jpg'",
 JOB = {"job_id": "o_orderkey",
        "status": "CASE o_orderpriority WHEN '1-URGENT' THEN 'pending' WHEN '2-HIGH' THEN 'retry' WHEN '3-MEDIUM' THEN 'done' "
                  "WHEN '5-LOW' THEN 'failed' ELSE 'retry' END",
-       "attempt_count": "o_custkey % 7", "next_attempt_at": "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END"}
+       "attempt_count": "o_custkey % 7", "next_attempt_at": "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_orderdate END"}
 OUTCOME = {"job_id": "o_orderkey",
            "listing_status": "CASE o_custkey % 6 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN NULL ELSE 200 END",
            "ad_id": "CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END",
@@ -104,12 +104,12 @@ OUTCOME = {"job_id": "o_orderkey",
 RESULT = {"job_id": "l_orderkey", "phone_count": "MAX(l_linenumber) % 3",
           "coverage_status": "CASE MAX(l_returnflag) WHEN 'R' THEN 'found' WHEN 'N' THEN 'blocked' ELSE 'not_found' END"}
 PUBLICATION = {"listing_id": "l_orderkey", "status": "CASE MAX(l_returnflag) WHEN 'R' THEN 'published' WHEN 'N' THEN 'pending' ELSE 'retry' END",
-               "updated_at": "MAX(CAST(l_shipdate AS TIMESTAMP))",
-               "synced_at": "CASE WHEN COUNT(*) % 4 = 0 THEN NULL ELSE MIN(CAST(l_shipdate AS TIMESTAMP)) + INTERVAL 400 DAYS END",
+               "updated_at": "MAX(l_shipdate)",
+               "synced_at": "CASE WHEN COUNT(*) % 4 = 0 THEN NULL ELSE MIN(l_shipdate) + INTERVAL 400 DAYS END",
                "n": "COUNT(*)"}
 RUN_PAGE = {"run_id": "CAST(floor(event_id / 8) AS BIGINT)",
             "operation": "CASE WHEN CAST(floor(event_id / 8) AS BIGINT) % 2 = 0 THEN 'rent' ELSE 'buy' END",
-            "ok": "event_type <> 'error'", "listing_id": "user_id", "started_at": "CAST(ts AS TIMESTAMP)",
+            "ok": "event_type <> 'error'", "listing_id": "user_id", "started_at": "ts",
             "expected_pages": "CASE WHEN CAST(floor(event_id / 8) AS BIGINT) % 5 = 0 THEN 7 ELSE 8 END"}
 NOTE = {"catalog": "CASE role WHEN 'user' THEN 'apartments' WHEN 'system' THEN 'houses' ELSE 'commercial' END",
         "listing_id": "CAST(conv_id AS STRING)", "note": "trim(text)", "pos": "turn"}
