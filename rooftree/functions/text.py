@@ -92,7 +92,7 @@ def normalize_phone(c, on_invalid: str = "raw") -> Column:
 def extract_phones(c, pattern: str = D.PHONE_IN_TEXT, min_digits: int = 10, max_digits: int = 12) -> Column:
     """Distinct phone-shaped values in order of first occurrence."""
     found = F.regexp_extract_all(F.coalesce(as_col(c), F.lit("")), F.lit(UNICODE + "(" + pattern + ")"), 1)
-    phones = F.transform(found, normalize_phone)
+    phones = F.transform(found, lambda p: normalize_phone(p))
     ok = lambda p: F.length(digits(p)).between(min_digits, max_digits)
     return F.array_distinct(F.filter(phones, ok))
 
@@ -107,7 +107,7 @@ def phone_values(c) -> Column:
 def tel_links(html) -> Column:
     """Phones published as tel: links of a page."""
     found = F.regexp_extract_all(as_col(html), F.lit(UNICODE + D.TEL_HREF), 1)
-    phones = F.transform(found, normalize_phone)
+    phones = F.transform(found, lambda p: normalize_phone(p))
     return F.array_distinct(F.filter(phones, lambda p: F.length(digits(p)).between(10, 15)))
 
 

@@ -149,6 +149,15 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """The table as a file stream.  A glob pattern serves a single file and a folder of part files alike."""
+        path = f"{self.folder}/[{name[0]}]{name[1:]}.parquet"
+        return self.spark.readStream.schema(self.read(name).schema).parquet(path)
+
+    def stream_view(self, name: str) -> DataFrame:
+        table, cols, _ = VIEWS[name]
+        return self.stream(table).selectExpr(*[f"{e} AS {c}" for c, e in cols.items()])
+
     def view(self, name: str) -> DataFrame:
         table, cols, by = VIEWS[name]
         df = self.read(table)
