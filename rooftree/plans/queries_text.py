@@ -56,7 +56,7 @@ def _(t):
                        T.normalize_phone("raw", "digits").alias("digit_phone"))
 
 
-@query("extract_phones", r"""SELECT doc_id, array_to_string(list_filter(regexp_extract_all(text, '\+?\d[\d\s()\-]{8,}', 0), lambda p: length(regexp_replace(p, '\D', '', 'g')) BETWEEN 11 AND 11), '|') AS raw_phones
+@query("extract_phones", r"""SELECT doc_id, array_to_string(list_transform(list_filter(regexp_extract_all(text, '\+?\d[\d\s()\-]{8,}', 0), lambda p: length(regexp_replace(p, '\D', '', 'g')) BETWEEN 11 AND 11), lambda p: trim(p)), '|') AS raw_phones
 FROM documents""")
 def _(t):
     found = T.extract_phones("text", D.PHONE_LOOSE, 11, 11)
