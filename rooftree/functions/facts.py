@@ -223,9 +223,9 @@ def extract_areas(text, area=None, area_usable=None) -> Column:
     return F.struct(total.alias("total"), usable.alias("usable"))
 
 
-def flag(c, terms) -> Column:
+def flag(c, terms, lowered: bool = False) -> Column:
     """True when a term occurs, otherwise NULL (text never proves absence)."""
-    return F.when(contains_any(F.lower(F.coalesce(as_col(c), F.lit(""))), terms), F.lit(True))
+    return F.when(contains_any(as_col(c) if lowered else F.lower(as_col(c)), terms), F.lit(True))
 
 
 def commercial_type(c) -> Column:

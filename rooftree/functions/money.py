@@ -83,8 +83,8 @@ def fill_prices(df: DataFrame, rates=None) -> DataFrame:
 
 # ---- commercial prices: totals and per-square-metre rates -------------------------------------
 _RATE_TAIL = rf"(\s*(?:/|за\s*){D.SQUARE_UNIT})?"
-_SUFFIX = rf"(?iuU)(\d[\d\s.,]*)\s*({D.MONEY_TOKEN}){_RATE_TAIL}"
-_PREFIX = rf"(?iuU)({D.MONEY_TOKEN})\s*(\d[\d\s.,]*){_RATE_TAIL}"
+_SUFFIX = rf"(?iu)(\d[\d\s.,]*)\s*({D.MONEY_TOKEN}){_RATE_TAIL}"
+_PREFIX = rf"(?iu)({D.MONEY_TOKEN})\s*(\d[\d\s.,]*){_RATE_TAIL}"
 RATE_MARKER = rf"(?:{D.MONEY_TOKEN})\s*(?:/|за\s*){D.SQUARE_UNIT}"
 
 
@@ -164,9 +164,10 @@ def price_from_listing(raw, title, description, operation, area) -> Column:
     operation, area = as_col(operation), as_col(area).cast("double")
     context = F.concat_ws(" ", F.coalesce(as_col(title), F.lit("")), F.coalesce(as_col(description), F.lit("")))
     return let(F.struct(parse_commercial_price(raw, operation, area).alias("own"),
-                        parse_commercial_price(context, operation, area).alias("ctx"),
-                        has(as_col(raw), RATE_MARKER).alias("in_raw"), has(context, RATE_MARKER).alias("in_context")),
-               lambda p: _choose_price(p["own"], p["ctx"], p["in_raw"], p["in_context"], operation, area))
+                        has(as_col(raw), RATE_MARKER, "(?iu)").alias("in_raw"),
+                        has(context, RATE_MARKER, "(?iu)").alias("in_context")),
+               lambda p: let(F.when(p["in_context"] & ~p["in_raw"], parse_commercial_price(context, operation, area)),
+                             lambda ctx: _choose_price(p["own"], ctx, p["in_raw"], p["in_context"], operation, area)))
 
 
 def _choose_price(own, ctx, rate_in_raw, rate_in_context, operation, area) -> Column:

@@ -95,9 +95,10 @@ def normalize_commercial(df: DataFrame, rates=None, region=in_region, max_photos
     area = F.col("__area.total")
     df = df.withColumn("__p1", price_from_listing("__price_raw", "__title", "__description", "operation", area))
     both = F.concat_ws(" ", "__title", "__description")
-    df = df.withColumn("__p2", price_from_listing(both, "__title", "__description", "operation", area))
-    retry = F.col("__p1.currency") == "UNKNOWN"
-    df = df.withColumn("__p", F.when(retry, F.col("__p2")).otherwise(F.col("__p1")))
+    retry = F.col("__p1.currency") == "UNKNOWN"  # only then is the prose searched for a price
+    again = price_from_listing(both, "__title", "__description", "operation", area)
+    df = df.withColumns({"__p": F.when(retry, again).otherwise(F.col("__p1")), "__low": F.lower("__text"),
+                         "__in": region("__text")})
     known = lambda cur: F.col(cur).isin("UAH", "USD", "EUR")
     money = lambda amount, cur: F.when(F.col(amount).isNotNull() & known(cur), convert_currency(amount, cur, rates))
     floor_pat = r"(?:поверх|этаж)\s*([\-\d]+)\s*(?:з|из|/)?\s*(\d+)?"
@@ -110,9 +111,9 @@ def normalize_commercial(df: DataFrame, rates=None, region=in_region, max_photos
         clean_text(g("floor_label")))
     advertiser = F.lower(clean_text(g("advertiser_type")))
     nonzero = lambda v: F.when(v != 0, v)
-    in_place = (g("source_catalog") == "kyiv_region") | region("__text")
+    in_place = (g("source_catalog") == "kyiv_region") | F.col("__in")
     place = (F.when(g("source_catalog") == "kyiv_region", "kyiv_or_oblast_catalog")
-             .when(region("__text"), "kyiv_or_oblast").otherwise("outside_kyiv_region"))
+             .when(F.col("__in"), "kyiv_or_oblast").otherwise("outside_kyiv_region"))
     photos = F.col("photos") if "photos" in df.columns else F.array().cast("array<string>")
     raw_phone = F.coalesce(filled(g("phones").cast("string")), g("contact_phone"), F.lit(""))
     df = df.withColumns({
@@ -132,7 +133,7 @@ def normalize_commercial(df: DataFrame, rates=None, region=in_region, max_photos
         *[F.col(f"__r.{k}").alias(f"price_per_m2_{k}") for k in ("uah", "usd", "eur")],
         F.col("__p.rate_period").alias("price_per_m2_period"),
         F.when(retry, both).otherwise(F.col("__price_raw")).alias("source_price_raw"),
-        *[flag("__text", terms).alias(name) for name, terms in D.COMMERCIAL_FLAGS.items()],
+        *[flag("__low", terms, True).alias(name) for name, terms in D.COMMERCIAL_FLAGS.items()],
         area.alias("area_total_m2"), F.col("__area.usable").alias("area_usable_m2"),
         F.col("__floor").alias("floor"), F.col("__floors").alias("floors_total"), F.col("__label").alias("floor_label"),
         F.coalesce(nonzero(loose_number(g("ceiling_height_m"))), loose_number(

@@ -56,8 +56,8 @@ def _(t):
                        T.normalize_phone("raw", "digits").alias("digit_phone"))
 
 
-@query("extract_phones", r"""SELECT doc_id, array_to_string(list_transform(list_filter(regexp_extract_all(text, '\+?\d[\d\s()\-]{8,}', 0), lambda p: length(regexp_replace(p, '\D', '', 'g')) BETWEEN 11 AND 11), lambda p: trim(p)), '|') AS raw_phones
-FROM documents""")
+@query("extract_phones", r"""SELECT doc_id, array_to_string(list_filter(x, lambda v, i: list_position(x, v) = i), '|') AS raw_phones FROM (SELECT doc_id,
+ list_transform(list_filter(regexp_extract_all(text, '\+?\d[\d\s()\-]{8,}', 0), lambda p: length(regexp_replace(p, '\D', '', 'g')) = 11), lambda p: trim(p)) AS x FROM documents)""")
 def _(t):
     found = T.extract_phones("text", D.PHONE_LOOSE, 11, 11)
     return t.documents.select("doc_id", F.array_join(found, "|").alias("raw_phones"))
