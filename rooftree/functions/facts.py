@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rooftree import defaults as D
 from rooftree.functions.money import loose_number
-from rooftree.functions.text import as_col, clean_text, contains_any, drop, has, let, rx
+from rooftree.functions.text import as_col, clean_text, contains_any, drop, has, let, rx, words_array
 
 
 def literal_map(mapping: dict) -> Column:
@@ -25,9 +25,10 @@ def first_match(cases) -> Column:
 
 def detect_by_tokens(c, dictionary, default=None) -> Column:
     """First dictionary entry with a token inside the lower-cased text; dict or ordered pairs."""
-    pairs = list(dictionary.items() if isinstance(dictionary, dict) else dictionary)
-    out = let(F.lower(F.coalesce(as_col(c), F.lit(""))),
-              lambda low: first_match([(contains_any(low, tokens), F.lit(name)) for name, tokens in pairs]))
+    pairs = [(token, name) for name, tokens in (dictionary.items() if isinstance(dictionary, dict) else dictionary)
+             for token in tokens]
+    table = F.arrays_zip(words_array([p[0] for p in pairs]).alias("token"), words_array([p[1] for p in pairs]).alias("name"))
+    out = let(F.lower(as_col(c)), lambda low: F.get(F.filter(table, lambda e: low.contains(e["token"])), F.lit(0))["name"])
     return F.coalesce(out, F.lit(default)) if default is not None else out
 
 

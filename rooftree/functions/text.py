@@ -38,10 +38,18 @@ def drop(c, pattern: str, by: str = "", flags: str = UNICODE) -> Column:
     return F.regexp_replace(as_col(c), flags + pattern, by)
 
 
+def words_array(words) -> Column:
+    """Constant string array (folded to one literal by the optimizer)."""
+    return F.split(F.lit("\u0001".join(words)), "\u0001")
+
+
 def contains_any(c, tokens) -> Column:
     """True when any literal token occurs (byte search per token: cheaper than a regex alternation)."""
-    c = as_col(c)
-    return F.coalesce(reduce(lambda a, b: a | b, [c.contains(t) for t in tokens]), F.lit(False))
+    tokens = list(tokens)
+    if len(tokens) <= 3:
+        c = as_col(c)
+        return F.coalesce(reduce(lambda a, b: a | b, [c.contains(t) for t in tokens]), F.lit(False))
+    return F.coalesce(let(as_col(c), lambda v: F.exists(words_array(tokens), lambda t: v.contains(t))), F.lit(False))
 
 
 def is_blank(c) -> Column:

@@ -5,28 +5,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rooftree import defaults as D
-from rooftree.functions.text import as_col, digits
+from rooftree.functions.text import digits
 from rooftree.operators.quality import source_filter
-from rooftree.operators.skew import attach_group, attach_lookup, per_group_top
-
-
-def newest_id(updated: str = "updated_at", key: str = "id") -> Column:
-    """Id of the newest row of a group (NULL dates last, then the larger id)."""
-    return F.max_by(F.col(key), F.struct(F.col(updated), F.col(key)))
+from rooftree.operators.skew import age_code, attach_group, attach_lookup, code_id, per_group_top
 
 
 def _mark_losers(df: DataFrame, eligible: Column, keys: dict[str, Column], note: str, **skew) -> DataFrame:
-    """Rows that are not their group's newest become inactive with the keeper in the comment."""
-    ok = F.coalesce(eligible, F.lit(False))
-    ids = df.where(ok).select("id", "updated_at", *[e.alias(k) for k, e in keys.items()])
-    grouped = attach_group(ids, list(keys), {"keeper": newest_id()}, **skew)
-    losers = grouped.where(F.col("id") != F.col("keeper")).select(F.col("id").alias("__loser"), "keeper")
-    out = df.join(losers, df["id"] == losers["__loser"], "left")
-    lost = F.col("keeper").isNotNull()
+    """Rows that are not their group's newest become inactive with the keeper in the comment.
+
+    Only keys that occur more than once are joined back; few duplicates therefore mean a broadcast at run time
+    and no shuffle of the rows at all.
+    """
+    keyed = df.withColumn("__ok", F.coalesce(eligible, F.lit(False))).withColumns(keys)
+    keyed = keyed.withColumn("__code", age_code(df))
+    groups = keyed.where("__ok").groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.max("__code").alias("newest"))
+    out = attach_lookup(keyed, groups.where(F.col("__rows") > 1), list(keys), "__rows", F.col("__ok"), **skew)
+    lost = F.col("__ok") & F.coalesce(F.col("newest") > F.col("__code"), F.lit(False))
     return out.withColumns({
         "status": F.when(lost, "inactive").otherwise(F.col("status")),
-        "comments": F.when(lost, F.concat(F.lit(note), F.col("keeper").cast("string"))).otherwise(F.col("comments")),
-    }).drop("__loser", "keeper")
+        "comments": F.when(lost, F.concat(F.lit(note), code_id("newest").cast("string"))).otherwise(F.col("comments")),
+    }).select(*df.columns)
 
 
 def _open(df: DataFrame) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 HOT_ROWS = 1_000_000
 SALTS = 64
 SLICE = 65_536
+ROW_IDS = ("id", "event_id", "job_id", "page_id", "doc_id", "pos")
 
 _SPREADABLE = (T.NumericType, T.DatetimeType, T.BooleanType)
 
@@ -33,15 +34,20 @@ def null_safe(left: DataFrame, right: DataFrame, pairs) -> Column:
 def _spread(df: DataFrame, skip) -> Column:
     """Deterministic row hash over cheap columns (a retried task must route rows the same way)."""
     free = [f for f in df.schema.fields if f.name not in skip]
+    ids = [f.name for f in free if f.name in ROW_IDS]
+    if ids:
+        return F.xxhash64(*ids)  # one id column is enough and keeps the scan narrow
     cols = [f.name for f in free if isinstance(f.dataType, _SPREADABLE)]
     cols = cols or [f.name for f in free if isinstance(f.dataType, T.StringType)] or list(skip)
     return F.xxhash64(*cols)
 
 
-def attach_lookup(df: DataFrame, dim: DataFrame, on, rows_col: str | None = None,
+def attach_lookup(df: DataFrame, dim: DataFrame, on, rows_col: str | None = None, eligible: Column | None = None,
                   hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """Left join ``df`` with ``dim`` (one row per key), safe for hot keys on the ``df`` side.
 
+    Rows that are not ``eligible`` match nothing and are spread as well, however many share one key.
+
     ``rows_col`` names a column of ``dim`` that already counts the rows of ``df`` per key;
     without it the counts are taken here (partial aggregation, so a hot key costs one row per task).
     """
@@ -62,8 +68,9 @@ def attach_lookup(df: DataFrame, dim: DataFrame, on, rows_col: str | None = None
     cold = cold.select(*[F.col(c).alias(renamed[c]) for c in on],
                        packed.alias("__cold"), F.lit(0).cast("bigint").alias("__d_salt"))
     out = df.join(F.broadcast(hot), null_safe(df, hot, [(c, f"__h_{c}") for c in on]), "left")
-    out = out.withColumn("__salt", F.when(F.col("__hot").isNull(), F.lit(0).cast("bigint"))
-                         .otherwise(F.lit(1).cast("bigint") + F.pmod(_spread(df, on), F.lit(salts))))
+    apart = F.col("__hot").isNotNull() if eligible is None else F.col("__hot").isNotNull() | ~eligible
+    out = out.withColumn("__salt", F.when(apart, F.lit(1).cast("bigint") + F.pmod(_spread(df, on), F.lit(salts)))
+                         .otherwise(F.lit(0).cast("bigint")))
     pairs = [(c, renamed[c]) for c in on]
     out = out.join(cold, null_safe(out, cold, pairs) & (out["__salt"] == cold["__d_salt"]), "left")
     pick = [F.when(F.col("__hot").isNotNull(), F.col(f"__hot.{v}")).otherwise(F.col(f"__cold.{v}")).alias(v)
@@ -78,7 +85,7 @@ def attach_group(df: DataFrame, keys: dict[str, Column] | list[str], aggs: dict[
     temp = {f"__k{i}": expr for i, expr in enumerate(keys.values())}
     keyed = df.withColumns(temp)
     stats = keyed.groupBy(*temp).agg(F.count(F.lit(1)).alias("__rows"), *[c.alias(n) for n, c in aggs.items()])
-    out = attach_lookup(keyed, stats, list(temp), "__rows", hot_rows, salts)
+    out = attach_lookup(keyed, stats, list(temp), "__rows", None, hot_rows, salts)
     return out.select(*df.columns, *aggs)
 
 
@@ -127,3 +134,22 @@ def first_run(ranked: DataFrame, by: list[str], flag: Column, k: int, pos: str =
 def per_group_top(df: DataFrame, by: list[str], order: list[Column], k: int, name: str = "group_rank") -> DataFrame:
     """First ``k`` rows per group; Spark pre-limits every map task, so hot groups stay small."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(name) <= k)
+
+
+_STEP = "CAST(10000000000000000000 AS DECIMAL(20, 0))"  # above every 64-bit id
+
+
+def age_code(df: DataFrame, updated: str = "updated_at", key: str = "id") -> Column:
+    """(time, id) as one exact decimal, NULL times lowest: its maximum is a plain hash aggregate.
+
+    A maximum over a struct would force a sort of every map task's rows before the partial aggregate.
+    """
+    kind = df.schema[updated].dataType.simpleString()
+    micros = f"timestampdiff(MICROSECOND, CAST(TIMESTAMP '1970-01-01 00:00:00' AS {kind}), {updated})"
+    time = f"COALESCE({micros}, -999999999999999999)"
+    return F.expr(f"CAST(CAST({time} AS DECIMAL(18, 0)) * {_STEP} + CAST({key} AS DECIMAL(19, 0)) AS DECIMAL(38, 0))")
+
+
+def code_id(code: str) -> Column:
+    """Id part of an age code."""
+    return F.pmod(F.col(code), F.expr(_STEP)).cast("bigint")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rooftree import defaults as D
 from rooftree.functions.text import contains_any, has, rx
-from rooftree.operators.skew import attach_lookup, first_run, ordinal
+from rooftree.operators.skew import age_code, attach_lookup, first_run, ordinal
 
 MISS = lambda: F.col("http_status").isin(404, 410)
 SEEN = lambda: F.col("http_status").between(200, 399)
@@ -17,16 +17,17 @@ def availability_state(checks: DataFrame, threshold: int = 2, key: str = "listin
 
     Two map-side-combined aggregates: last success per key, then misses after it.
     """
-    at = F.struct("checked_at", "event_id")
-    base = checks.groupBy(key).agg(F.max("checked_at").alias("last_checked_at"), F.max(F.when(SEEN(), at)).alias("last_ok"))
-    misses = checks.where(MISS()).select(key, "checked_at", "event_id")
+    checks = checks.withColumn("at", age_code(checks, "checked_at", "event_id"))
+    base = checks.groupBy(key).agg(F.max("checked_at").alias("last_checked_at"), F.max(F.when(SEEN(), F.col("at"))).alias("last_ok"),
+                                   F.max(F.when(SEEN(), F.col("checked_at"))).alias("last_seen_at"))
+    misses = checks.where(MISS()).select(key, "event_id", "at")
     dim = base.where(F.col("last_ok").isNotNull()).select(key, "last_ok")
     late = attach_lookup(misses, dim, key, **skew)
-    late = late.where(F.col("last_ok").isNull() | (at > F.col("last_ok")))
+    late = late.where(F.col("last_ok").isNull() | (F.col("at") > F.col("last_ok")))
     counts = late.groupBy(key).agg(F.count(F.lit(1)).alias("missing"))
     out = base.join(counts, key, "left")
     missing = F.coalesce("missing", F.lit(0)).cast("bigint")
-    return out.select(key, "last_checked_at", F.col("last_ok.checked_at").alias("last_seen_at"), missing.alias("missing"),
+    return out.select(key, "last_checked_at", "last_seen_at", missing.alias("missing"),
                       F.when(missing >= threshold, "inactive").otherwise("active").alias("status"))
 
 
