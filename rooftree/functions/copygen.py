@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rooftree import defaults as D
 from rooftree.functions.facts import label_for
 from rooftree.functions.text import (as_col, clean_text, contains_any, cut, drop, has, let, number_text,
-                                     publishable_text, redact_phrases, redact_plain, redact_text, rx, some)
+                                     publishable_text, redact_phrases, redact_plain, redact_text, regex, rx, some)
 
 NONE = lambda: F.lit(None).cast("string")
 
@@ -50,7 +50,7 @@ def object_name(row, genitive: bool = False) -> Column:
 
 def complex_name(row) -> Column:
     value = _strip(drop(clean_text(_field(row, "residential_complex")), r"^жк\s*"), " «»\"")
-    value = _strip(F.element_at(F.split(value, "(?iuU)" + D.BANNED, 2), 1), " ,.-–—")
+    value = _strip(F.element_at(F.split(value, regex(D.BANNED), 2), 1), " ,.-–—")
     value = drop(value, r"\s+(?:від|з|у|на)$")
     bad = r"зда[єе]ть|оренд|продаж|квартир|будинок|метро|поверх"
     return let(value, lambda v: F.when(F.length(v).between(1, 100) & ~has(v, bad), v))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rooftree import defaults as D
 from rooftree.functions.money import loose_number
-from rooftree.functions.text import as_col, clean_text, contains_any, drop, has, let, rx, words_array
+from rooftree.functions.text import as_col, clean_text, contains_any, drop, has, let, regex, rx, words_array
 
 
 def literal_map(mapping: dict) -> Column:
@@ -206,7 +206,7 @@ def range_clean(df: DataFrame, rooms_max: int = 30, floors_max: int = 120, area=
 def _first_area(text: Column, patterns) -> Column:
     tries = []
     for p in patterns:
-        found = F.transform(F.regexp_extract_all(text, F.lit("(?iuU)" + p), 1), loose_number)
+        found = F.transform(F.regexp_extract_all(text, F.lit(regex(p)), 1), loose_number)
         tries.append(F.try_element_at(F.filter(found, lambda v: v.between(5, 100_000)), F.lit(1)))
     return F.coalesce(*tries)
 

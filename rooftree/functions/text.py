@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 from rooftree import defaults as D
 
 UNICODE = "(?iuU)"  # ignore case, also for non-Latin letters; \w, \b, \s cover Unicode
+_SPACES = r"\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def regex(pattern: str, flags: str = UNICODE) -> str:
+    """Java pattern text.  Unicode classes are slow, so a pattern without word classes gets an explicit space class."""
+    if flags == UNICODE and r"\w" not in pattern and r"\b" not in pattern and r"\W" not in pattern:
+        return "(?iu)" + pattern.replace(r"\s", f"[{_SPACES}]").replace(r"\S", f"[^{_SPACES}]")
+    return flags + pattern
 
 
 def as_col(c) -> Column:
@@ -27,15 +35,15 @@ def some(c) -> Column:
 
 def rx(c, pattern: str, group: int = 1, flags: str = UNICODE) -> Column:
     """Regex group as a value, NULL when there is no match (or the group is empty)."""
-    return some(F.regexp_extract(as_col(c), flags + pattern, group))
+    return some(F.regexp_extract(as_col(c), regex(pattern, flags), group))
 
 
 def has(c, pattern: str, flags: str = UNICODE) -> Column:
-    return F.coalesce(as_col(c).rlike(flags + pattern), F.lit(False))
+    return F.coalesce(as_col(c).rlike(regex(pattern, flags)), F.lit(False))
 
 
 def drop(c, pattern: str, by: str = "", flags: str = UNICODE) -> Column:
-    return F.regexp_replace(as_col(c), flags + pattern, by)
+    return F.regexp_replace(as_col(c), regex(pattern, flags), by)
 
 
 def words_array(words) -> Column:
@@ -99,7 +107,7 @@ def normalize_phone(c, on_invalid: str = "raw") -> Column:
 
 def extract_phones(c, pattern: str = D.PHONE_IN_TEXT, min_digits: int = 10, max_digits: int = 12) -> Column:
     """Distinct phone-shaped values in order of first occurrence."""
-    found = F.regexp_extract_all(F.coalesce(as_col(c), F.lit("")), F.lit(UNICODE + "(" + pattern + ")"), 1)
+    found = F.regexp_extract_all(F.coalesce(as_col(c), F.lit("")), F.lit(regex("(" + pattern + ")")), 1)
     phones = F.transform(found, lambda p: normalize_phone(p))
     ok = lambda p: F.length(digits(p)).between(min_digits, max_digits)
     return F.array_distinct(F.filter(phones, ok))
@@ -132,7 +140,7 @@ def strip_html(c) -> Column:
     return F.regexp_replace(unescape(F.coalesce(as_col(c), F.lit(""))), "<[^>]+>", " ")
 
 
-def _rejoin(paragraphs: Column, keep_sentence, splitter: str = r"(?<=[.!?])\s+") -> Column:
+def _rejoin(paragraphs: Column, keep_sentence, splitter: str = regex(r"(?<=[.!?])\s+")) -> Column:
     """Clean sentence by sentence inside paragraphs and put what is left together again."""
     def one(paragraph):
         return F.array_join(F.transform(F.split(paragraph, splitter), keep_sentence), " ")  # NULLs are left out
@@ -147,8 +155,8 @@ def redact_text(c, banned: str = D.BANNED, redactions=tuple(D.REDACTIONS), phone
                 url: str = D.URL_SHAPE, min_len: int = D.MIN_SENTENCE, limit: int | None = D.TEXT_LIMIT) -> Column:
     """Drop phones, links, foreign-language tail and contact phrases; keep clean sentences only."""
     def before_marker(text):
-        head = F.element_at(F.split(text, UNICODE + D.ENGLISH_MARKER, 2), 1)  # whole text when there is no marker
-        return let(head, lambda h: F.when((F.length(h) > 500) & (F.length(h) < F.length(text)), h)
+        head = F.element_at(F.split(text, regex(D.ENGLISH_MARKER), 2), 1)  # whole text when there is no marker
+        return let(head, lambda h: F.when((F.length(h) > 500) | (F.length(h) == F.length(text)), h)
                    .otherwise(drop(text, D.ENGLISH_MARKER + r"[^\n]*")))
 
     text = let(drop(drop(F.coalesce(as_col(c), F.lit("")), phone), url), before_marker)
@@ -156,17 +164,20 @@ def redact_text(c, banned: str = D.BANNED, redactions=tuple(D.REDACTIONS), phone
         text = drop(text, pattern, " ")
 
     def keep(sentence):
-        return let(drop(drop(clean_text(sentence), D.LEADING_LABEL), banned),
-                   lambda tidy: F.when((F.length(tidy) >= min_len) & ~has(tidy, banned), tidy))
+        def judge(before):  # an unchanged sentence holds nothing banned: no second search
+            return let(drop(before, banned), lambda tidy: F.when(
+                (F.length(tidy) >= min_len) & ((tidy == before) | ~has(tidy, banned)), tidy))
+
+        return let(drop(clean_text(sentence), D.LEADING_LABEL), judge)
 
-    return cut(_rejoin(F.split(text, r"(?U)\n\s*\n+"), keep), limit)
+    return cut(_rejoin(F.split(text, regex(r"\n\s*\n+")), keep), limit)
 
 
 def redact_plain(c, banned: str = D.COMMERCIAL_BANNED, phone: str = D.PHONE_SHAPE, url: str = D.URL_SHAPE,
                  min_len: int = D.MIN_SENTENCE, limit: int | None = D.TEXT_LIMIT) -> Column:
     """Sentence filter on one line: no phones, no links, no banned or very short sentences."""
     text = drop(drop(F.coalesce(as_col(c), F.lit("")), phone), url)
-    parts = F.transform(F.split(text, r"(?U)(?<=[.!?])\s+|\n+"), clean_text)
+    parts = F.transform(F.split(text, regex(r"(?<=[.!?])\s+|\n+")), clean_text)
     kept = F.filter(parts, lambda s: (F.length(s) >= min_len) & ~has(s, banned))
     return cut(F.array_join(kept, " "), limit)
 
@@ -180,7 +191,7 @@ def redact_phrases(c, phrases: str = D.FEED_CONTACT, phone: str = D.PHONE_SHAPE,
 def publishable_text(c, sensitive: str = D.SENSITIVE_SENTENCE, limit: int | None = 18_000) -> Column:
     """Plain text for a public page: no markup, no sentence that names a site, an agent or a phone."""
     paragraphs = F.transform(F.split(strip_html(c), r"\n{2,}"), clean_text)
-    return cut(_rejoin(paragraphs, lambda s: F.when((s != "") & ~has(s, sensitive), s), r"(?U)(?<=[.!?])\s+"), limit)
+    return cut(_rejoin(paragraphs, lambda s: F.when((s != "") & ~has(s, sensitive), s), regex(r"(?<=[.!?])\s+")), limit)
 
 
 def numbers_in(c) -> Column:
