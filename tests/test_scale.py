@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rooftree.operators import dedupe, quality, reconcile, selection, skew, state
 
 HOT = dict(hot_rows=5, salts=3)
-FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def skewed(spark, n=400):

@@ -61,7 +61,7 @@ def test_disguised_rate(spark):
 
 
 @pytest.mark.parametrize("raw, plain, blank, digits", [
-    ("067 123 45 67", "+380671234567",) * 1 + ("+380671234567", "+380671234567"), ("+38 (067) 123-45-67", "+380671234567", "+380671234567", "+380671234567"),
+    ("067 123 45 67", "+380671234567", "+380671234567", "+380671234567"), ("+38 (067) 123-45-67", "+380671234567", "+380671234567", "+380671234567"),
     (" 12345 ", "12345", "", "12345"), (None, "", "", "")])
 def test_phone(spark, raw, plain, blank, digits):
     assert one(spark, T.normalize_phone("p"), p=raw) == plain
