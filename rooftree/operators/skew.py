@@ -139,14 +139,18 @@ def per_group_top(df: DataFrame, by: list[str], order: list[Column], k: int, nam
 _STEP = "CAST(10000000000000000000 AS DECIMAL(20, 0))"  # above every 64-bit id
 
 
+def micros_of(df: DataFrame, column: str) -> str:
+    """SQL text for the microseconds of a time column; wall-clock columns do not depend on the session time zone."""
+    kind = df.schema[column].dataType.simpleString()
+    return f"timestampdiff(MICROSECOND, CAST(TIMESTAMP '1970-01-01 00:00:00' AS {kind}), {column})"
+
+
 def age_code(df: DataFrame, updated: str = "updated_at", key: str = "id") -> Column:
     """(time, id) as one exact decimal, NULL times lowest: its maximum is a plain hash aggregate.
 
     A maximum over a struct would force a sort of every map task's rows before the partial aggregate.
     """
-    kind = df.schema[updated].dataType.simpleString()
-    micros = f"timestampdiff(MICROSECOND, CAST(TIMESTAMP '1970-01-01 00:00:00' AS {kind}), {updated})"
-    time = f"COALESCE({micros}, -999999999999999999)"
+    time = f"COALESCE({micros_of(df, updated)}, -999999999999999999)"
     return F.expr(f"CAST(CAST({time} AS DECIMAL(18, 0)) * {_STEP} + CAST({key} AS DECIMAL(19, 0)) AS DECIMAL(38, 0))")
 
 

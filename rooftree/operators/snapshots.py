@@ -88,6 +88,20 @@ def merge_apartments(curated: DataFrame, normalized: DataFrame, asof: str, since
     return upsert(curated, fresh, KEY, D.APARTMENT_MERGE, asof, guard=guard)
 
 
+def typed_policy(df: DataFrame, overrides: dict | None = None) -> dict:
+    """Policy by column type: texts keep a non-blank value, arrays a non-empty one, the rest a non-NULL one."""
+    def rule(kind):
+        return "non_blank" if kind == "string" else "non_empty" if kind.startswith("array") else "non_null"
+    return {**{f.name: rule(f.dataType.simpleString()) for f in df.schema.fields}, **(overrides or {})}
+
+
+def merge_commercial(current: DataFrame, incoming: DataFrame, asof: str, keys=KEY) -> DataFrame:
+    """Wide commercial catalog: nothing known is lost to a gap in the newer record."""
+    fixed = {"operation": "overwrite", "url": "overwrite", "parsed_at": "overwrite", "extraction_confidence": "overwrite",
+             "raw_listing_id": "keep", "created_at": "keep", "status": "sticky", "last_seen_at": "asof", "updated_at": "asof"}
+    return upsert(current, incoming, keys, typed_policy(current, fixed), asof)
+
+
 def merge_since(curated: DataFrame, normalized: DataFrame, since: str, asof: str) -> DataFrame:
     return merge_apartments(curated, normalized, asof, since)
 

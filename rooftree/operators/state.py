@@ -31,7 +31,7 @@ def availability_state(checks: DataFrame, threshold: int = 2, key: str = "listin
                       F.when(missing >= threshold, "inactive").otherwise("active").alias("status"))
 
 
-def confirmed_once(checks: DataFrame, threshold: int = 2, key: str = "listing_id", slice_seconds: int = 86_400) -> DataFrame:
+def confirmed_once(checks: DataFrame, threshold: int = 2, key: str = "listing_id", slice_seconds: int = 3_600) -> DataFrame:
     """The one check per listing that first completes ``threshold`` misses in a row (successes reset, others do not)."""
     decisive = checks.where(MISS() | SEEN())
     ranked = ordinal(decisive, [key], [F.col("checked_at").asc(), F.col("event_id").asc()],

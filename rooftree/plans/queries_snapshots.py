@@ -68,6 +68,17 @@ def _(t):
     return S.overwrite_upsert(_core(t.listings), t.listings_in.select(*CORE), ASOF)
 
 
+COMMERCIAL = {"id": "COALESCE(i.id, c.id)", "title": "COALESCE(NULLIF(i.title, ''), c.title)", "price_uah": "COALESCE(i.price_uah, c.price_uah)", "district": "COALESCE(NULLIF(i.district, ''), c.district)",
+              "agent_type": "COALESCE(NULLIF(i.agent_type, ''), c.agent_type)", "agent_phone": "COALESCE(NULLIF(i.agent_phone, ''), c.agent_phone)",
+              "status": "CASE WHEN c.status IN ('quarantine', 'archived') THEN c.status ELSE 'active' END", "operation": "i.operation",
+              "property_type": "COALESCE(NULLIF(i.property_type, ''), c.property_type)", "updated_at": ASOF}
+
+
+@query("merge_commercial", LI + merge_sql("TRUE", COMMERCIAL).replace(f"NOT ({FEED})", "TRUE").replace("ELSE NULL END AS id", "ELSE i.id END AS id"))
+def _(t):
+    return S.merge_commercial(_core(t.listings), t.listings_in.select(*CORE), ASOF)
+
+
 @query("upsert_raw", LI + f"""SELECT COALESCE(c.source, i.source) AS source, COALESCE(c.external_id, i.external_id) AS external_id, COALESCE(i.url, c.url) AS url, COALESCE(CASE WHEN i.url IS NULL THEN c.price_uah ELSE i.price_uah END) AS price_uah,
  CASE WHEN c.url IS NOT NULL AND i.url IS NOT NULL THEN c.rooms_n + 1 WHEN c.url IS NOT NULL THEN c.rooms_n ELSE 0 END AS retry_count,
  CASE WHEN c.url IS NOT NULL THEN c.created_at ELSE i.created_at END AS created_at FROM (SELECT *, COALESCE(rooms, 0) AS rooms_n FROM listings) c FULL JOIN listings_in i ON i.source = c.source AND i.external_id = c.external_id""")

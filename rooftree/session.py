@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -29,8 +30,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="rooftree-")
 
 
-def checkpointed(df, spark: SparkSession):
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_dir(spark))
-    return df.checkpoint()
+def staged(df: DataFrame) -> DataFrame:
+    """Write an intermediate result to the shared folder once and go on from there.
+
+    Later steps may read it several times without recomputing it, and it survives the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from rooftree.operators.skew import micros_of
+
 STATE_SCHEMA = "ok_us long, ok_id long, checked_us long"
 MISS_KEY, MISS_VALUE = "at_us long, event_id long", "code int"
 OUTPUT = "listing_id long, last_checked_us long, last_seen_us long, missing long, status string"
@@ -59,7 +61,7 @@ def availability_stream(checks: DataFrame, threshold: int = 2) -> DataFrame:
     Needs the RocksDB state store (``rooftree.session.ROCKSDB``).  The trigger size bounds a group's rows.
     """
     decisive = checks.select(F.col("listing_id").cast("long").alias("listing_id"), F.col("event_id").cast("long").alias("event_id"),
-                             F.unix_micros(F.col("checked_at").cast("timestamp")).alias("at_us"),
+                             F.expr(micros_of(checks, "checked_at")).alias("at_us"),
                              F.coalesce("http_status", F.lit(0)).cast("int").alias("http_status"))
     return decisive.groupBy("listing_id").transformWithStateInPandas(
         statefulProcessor=AvailabilityProcessor(threshold), outputStructType=OUTPUT, outputMode="Update", timeMode="None")
