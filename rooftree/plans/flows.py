@@ -16,7 +16,7 @@ from rooftree.session import staged
 
 def intake(curated: DataFrame, extracted: DataFrame, asof: str, rates=None) -> DataFrame:
     """Extracted page fields -> normalized -> wrong types and low prices out -> merged -> gated -> de-duplicated."""
-    fresh = normalize_listing(extracted, rates)
+    fresh = staged(normalize_listing(extracted, rates))  # a filter on computed fields would repeat their expressions
     fresh = quality.price_gate(quality.resolve_catalog(fresh, D.FLAT))
     merged = staged(snapshots.merge_apartments(curated, fresh, asof))  # read four times below
     return dedupe.dedupe_by_fingerprint(dedupe.dedupe_by_url(quality.quality_gate(merged)))

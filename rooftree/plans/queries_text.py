@@ -34,7 +34,7 @@ PRICE_TEXT = "CASE o_custkey % 5 WHEN 0 THEN '$ ' WHEN 1 THEN 'EUR' WHEN 2 THEN
 SELECT o_orderkey, CASE WHEN direct > 0 THEN direct ELSE CASE WHEN TRY_CAST(regexp_replace(raw, '\D', '', 'g') AS DOUBLE) > 0 THEN TRY_CAST(regexp_replace(raw, '\D', '', 'g') AS DOUBLE) END END AS amount,
  CASE WHEN contains(raw, '$') THEN 'USD' WHEN contains(raw, 'EUR') THEN 'EUR' WHEN contains(raw, 'грн') THEN 'UAH' ELSE '' END AS currency FROM v""")
 def _(t):
-    rows = t.orders.selectExpr("o_orderkey", f"{PRICE_TEXT} AS raw")
+    rows = t.spread("orders").selectExpr("o_orderkey", f"{PRICE_TEXT} AS raw")
     return rows.select("o_orderkey", M.parse_price("raw").alias("p")).select("o_orderkey", "p.amount", "p.currency")
 
 
@@ -51,7 +51,7 @@ PHONE_TEXT = "CASE o_custkey % 4 WHEN 0 THEN '067 ' WHEN 1 THEN '+38 (050) ' WHE
  CASE WHEN length(d) = 10 AND d LIKE '0%' THEN '+38' || d WHEN length(d) = 12 AND d LIKE '380%' THEN '+' || d ELSE d END AS digit_phone
 FROM (SELECT o_orderkey, {PHONE_TEXT} AS raw, regexp_replace({PHONE_TEXT}, '\D', '', 'g') AS d FROM orders)""")
 def _(t):
-    rows = t.orders.selectExpr("o_orderkey", f"{PHONE_TEXT} AS raw")
+    rows = t.spread("orders").selectExpr("o_orderkey", f"{PHONE_TEXT} AS raw")
     return rows.select("o_orderkey", T.normalize_phone("raw").alias("phone"), T.normalize_phone("raw", "blank").alias("feed_phone"),
                        T.normalize_phone("raw", "digits").alias("digit_phone"))
 
@@ -114,7 +114,7 @@ FEE_TEXT = "CASE o_custkey % 8 WHEN 0 THEN 'Оренда без комісії'
  WHEN 2 THEN 'Комісія ' || (o_orderkey % 90 + 1) || '%' WHEN 3 THEN 'Комісія ' || (o_orderkey + 1) || ' грн' WHEN 4 THEN 'Комісія: умови уточнюються' WHEN 5 THEN 'Комісія 2,5%'
  WHEN 6 THEN 'Комісія ' || (o_orderkey + 1) || ' $' ELSE 'Не вказано' END AS commission FROM (SELECT o_orderkey, o_custkey % 8 AS k, o_orderkey % 120 AS p FROM orders)""")
 def _(t):
-    rows = t.orders.selectExpr("o_orderkey", f"{FEE_TEXT} AS raw")
+    rows = t.spread("orders").selectExpr("o_orderkey", f"{FEE_TEXT} AS raw")
     return rows.select("o_orderkey", X.normalize_commission(F.lit(""), "raw").alias("commission"))
 
 
@@ -185,7 +185,7 @@ OFFER = "CASE o_custkey % 4 WHEN 0 THEN CAST(10 + o_orderkey % 90 AS STRING) ||
  CASE k WHEN 0 THEN 10 + o_orderkey % 90 WHEN 1 THEN (500 + o_orderkey) / CAST(50 AS DOUBLE) WHEN 2 THEN 12 END AS rate, CASE k WHEN 0 THEN 'USD' WHEN 1 THEN 'UAH' WHEN 2 THEN 'USD' ELSE 'UNKNOWN' END AS rate_currency,
  CASE k WHEN 1 THEN 'month' ELSE 'unknown' END AS rate_period FROM (SELECT o_orderkey, o_custkey % 4 AS k FROM orders)""")
 def _(t):
-    rows = t.orders.selectExpr("o_orderkey", f"{OFFER} AS raw")
+    rows = t.spread("orders").selectExpr("o_orderkey", f"{OFFER} AS raw")
     p = M.parse_commercial_price("raw", F.lit("rent"), F.lit(50.0))
     return rows.select("o_orderkey", p.alias("p")).select("o_orderkey", "p.*")
 
@@ -193,7 +193,7 @@ def _(t):
 @query("listing_price", f"""SELECT o_orderkey, CASE k WHEN 0 THEN (10 + o_orderkey % 90) * CAST(60 AS DOUBLE) WHEN 1 THEN CASE WHEN o_orderkey = 0 THEN CAST(500 * 60 AS DOUBLE) ELSE 500 + o_orderkey END WHEN 2 THEN 1000 + o_orderkey END AS total,
  CASE k WHEN 0 THEN 'USD' WHEN 1 THEN 'UAH' WHEN 2 THEN 'EUR' ELSE 'UNKNOWN' END AS currency FROM (SELECT o_orderkey, o_custkey % 4 AS k FROM orders)""")
 def _(t):
-    rows = t.orders.selectExpr("o_orderkey", f"{OFFER} AS raw")
+    rows = t.spread("orders").selectExpr("o_orderkey", f"{OFFER} AS raw")
     p = M.price_from_listing("raw", F.lit("Офіс у центрі"), F.lit("без торгу"), F.lit("rent"), F.lit(60.0))
     return rows.select("o_orderkey", p.alias("p")).select("o_orderkey", "p.total", "p.currency")
 
@@ -205,7 +205,7 @@ AREA_TEXT = "CASE o_custkey % 4 WHEN 0 THEN 'Загальна площа: ' || C
  WHEN 1 THEN CASE WHEN o_orderkey % 900 + 0.5 >= 5 THEN CAST(o_orderkey % 900 + 0.5 AS DOUBLE) END WHEN 2 THEN 60 + o_orderkey % 50 END AS total,
  CASE WHEN k = 0 AND 1 + o_orderkey % 90 >= 5 THEN CAST(1 + o_orderkey % 90 AS DOUBLE) END AS usable FROM (SELECT o_orderkey, o_custkey % 4 AS k FROM orders)""")
 def _(t):
-    rows = t.orders.selectExpr("o_orderkey", f"{AREA_TEXT} AS raw")
+    rows = t.spread("orders").selectExpr("o_orderkey", f"{AREA_TEXT} AS raw")
     return rows.select("o_orderkey", X.extract_areas("raw").alias("a")).select("o_orderkey", "a.total", "a.usable")
 
 

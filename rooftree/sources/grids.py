@@ -13,12 +13,15 @@ def find_column(columns: list[str], aliases: list[str]) -> str | None:
     return next((by_name[a.lower()] for a in aliases if a.lower() in by_name), None)
 
 
-def read_grid(spark: SparkSession, path: str, aliases: dict[str, list[str]] | None = None) -> DataFrame:
+def read_grid(spark: SparkSession, path: str, aliases: dict[str, list[str]] | None = None,
+              line_breaks: bool = True) -> DataFrame:
     """CSV grid with a header row, all cells as text; aliased columns are renamed to their wanted names.
 
+    Cells with line breaks make a file one split; large grids without them are read with ``line_breaks=False``.
+
     A position column of the file (if it has one) is data like any other; Spark does not invent file order.
     """
-    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
+    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=line_breaks, escape='"')
     return rename_aliases(df, aliases or {})
 
 

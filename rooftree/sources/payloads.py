@@ -26,9 +26,12 @@ def export_key(token, url) -> Column:
     return F.concat(F.lit("olx_"), F.trim(found))
 
 
-def read_export(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(merged phones per key, counters) of a JSON-array export with external_token, url and phone."""
-    rows = spark.read.schema("external_token string, url string, phone string, pos long").json(path, multiLine=True)
+def read_export(spark: SparkSession, path: str, array: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(merged phones per key, counters) of an export with external_token, url, phone and pos.
+
+    A JSON array is one split per file; exports with one item per line (``array=False``) are split freely.
+    """
+    rows = spark.read.schema("external_token string, url string, phone string, pos long").json(path, multiLine=array)
     return merge_export(rows)
 
 
