@@ -1,8 +1,6 @@
 """Generated titles and descriptions (residential, commercial, feed), quality scores and fact rows."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

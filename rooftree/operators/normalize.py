@@ -11,7 +11,7 @@ from rooftree.functions.facts import (area_from_text, commercial_type, detect_ag
                                       floor_from_text, in_region, label_for, normalize_commission, parse_address,
                                       property_type_from, reconcile_floor, region_label, rooms_from_text)
 from rooftree.functions.money import convert_currency, loose_number, parse_price, price_from_listing
-from rooftree.functions.text import (clean_text, digits, extract_int, extract_phones, is_blank, let, normalize_phone,
+from rooftree.functions.text import (clean_text, extract_int, extract_phones, is_blank, let, normalize_phone,
                                      rx, some as filled)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rooftree import defaults as D
 from rooftree.functions.facts import in_region, property_type_from
-from rooftree.functions.text import as_col, contains_any, has, is_blank
+from rooftree.functions.text import contains_any, has, is_blank
 from rooftree.operators.skew import attach_group
 
 

@@ -5,7 +5,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rooftree.functions.text import is_blank
-from rooftree.operators.skew import per_group_top
 
 N = lambda: F.count(F.lit(1))
 

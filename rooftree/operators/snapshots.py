@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rooftree import defaults as D
-from rooftree.functions.text import as_col, blank_to_null, is_blank, let, some
+from rooftree.functions.text import blank_to_null, extract_phones, is_blank, some
 from rooftree.operators.lookups import not_archived
 from rooftree.operators.quality import needs_copy
 
@@ -308,6 +308,17 @@ def fill_blank_contacts(df: DataFrame, contacts: DataFrame, key: str = "id", cel
         *df.columns)
 
 
+def fill_phones_from_text(df: DataFrame, source: str = "olx", note: str = D.TEXT_PHONE_NOTE) -> DataFrame:
+    """Blank phones of active rows of one source, taken from phone numbers their own text already shows."""
+    text = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit("")))
+    open_row = (F.col("source") == source) & (F.col("status") == "active") & is_blank("agent_phone")
+    out = df.withColumn("__found", F.when(open_row, some(F.array_join(extract_phones(text), " "))))
+    hit = F.col("__found").isNotNull()
+    return out.withColumns({"agent_phone": F.coalesce("__found", "agent_phone"),
+                            "comments": F.when(hit, append_comment(F.col("comments"), note)).otherwise(F.col("comments"))}
+                           ).drop("__found")
+
+
 def refresh_copy(df: DataFrame, title: Column, description: Column) -> DataFrame:
     """(Re)build generated texts of the rows that need it."""
     todo = needs_copy(df).select(F.col("id"), title.alias("__t"), description.alias("__d"))

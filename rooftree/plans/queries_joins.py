@@ -1,12 +1,11 @@
 """Queries for joins, set operations and import plans."""
 from pyspark.sql import functions as F
 
-from rooftree.functions.text import phone_values
 from rooftree.operators import lookups as J
 from rooftree.operators import sets as S
 from rooftree.operators.dedupe import cross_source_duplicates
 from rooftree.operators.state import attempt_ledger
-from rooftree.plans.bindings import ASOF, MID, cte
+from rooftree.plans.bindings import ASOF, cte
 from rooftree.plans.registry import query
 
 L = cte("listings")

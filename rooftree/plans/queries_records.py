@@ -3,11 +3,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from rooftree import defaults as D
 from rooftree.functions import copygen as C
-from rooftree.functions import text as T
 from rooftree.operators import normalize as N
-from rooftree.operators import quality as Q
 from rooftree.plans.bindings import cte
 from rooftree.plans.queries_snapshots import TITLE
 from rooftree.plans.registry import query

@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from rooftree import defaults as D
-from rooftree.functions import copygen, display
+from rooftree.functions import copygen
 from rooftree.functions.facts import normalize_commission
 from rooftree.operators import reconcile as RC
 from rooftree.operators import sets as ST
@@ -237,6 +237,13 @@ def _(t):
     return S.fill_blank_contacts(t.listings.select("catalog", "id", "agent_phone"), contacts).select("id", "agent_phone")
 
 
+@query("fill_phones_from_text", L + r"""SELECT id, CASE WHEN hit THEN '+38' || replace(regexp_extract(description, 'Телефон ([0-9 ]+),', 1), ' ', '') ELSE agent_phone END AS agent_phone,
+ CASE WHEN hit THEN CASE WHEN COALESCE(comments, '') = '' THEN '' ELSE comments || '; ' END || 'contact: public phone extracted from text' ELSE comments END AS comments
+FROM (SELECT *, COALESCE(source = 'olx' AND status = 'active' AND COALESCE(trim(agent_phone), '') = '' AND contains(description, 'Телефон 067'), FALSE) AS hit FROM listings)""")
+def _(t):
+    return S.fill_phones_from_text(t.listings).select("id", "agent_phone", "comments")
+
+
 NUM = lambda c: f"CAST({c} AS BIGINT)"
 TITLE = """CASE WHEN operation = 'rent' THEN 'Оренда ' ELSE 'Продаж ' END || CASE WHEN rooms IS NOT NULL THEN CAST(rooms AS VARCHAR) || CASE WHEN property_type = 'Будинок' THEN '-кімнатного будинку' ELSE '-кімнатної квартири' END
  WHEN property_type = 'Будинок' THEN 'будинку' ELSE 'квартири' END || CASE WHEN area IS NOT NULL THEN ' ' || CAST(CAST(area AS BIGINT) AS VARCHAR) || ' м²' ELSE '' END

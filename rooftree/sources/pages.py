@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rooftree import defaults as D
-from rooftree.functions.arrays import clean_photo_url
 from rooftree.functions.facts import detect_by_tokens, extract_street
 from rooftree.functions.text import as_col, clean_text, has, rx, some, unescape
 

@@ -2,7 +2,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from rooftree import defaults as D
 from rooftree.functions import arrays as A
