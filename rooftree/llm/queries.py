@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import suffix_dedup
+from rooftree.llm import exact_dedup, preference, suffix_dedup, url_filter
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,18 @@ def query(name: str, sql: str | None = None):
 @query("op1_suffix_dedup")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.report(read(spark, folder, "documents"))
+
+
+@query("op3_url_filter", url_filter.SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(read(spark, folder, "pages"))
+
+
+@query("op6_exact_dedup", exact_dedup.SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.report(read(spark, folder, "documents"))
+
+
+@query("op10_preference_format", preference.SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return preference.format_pairs(read(spark, folder, "conversations"))
