@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import exact_dedup, preference, suffix_dedup, url_filter
+from rooftree.llm import exact_dedup, packing, preference, suffix_dedup, url_filter
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_preference_format", preference.SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return preference.format_pairs(read(spark, folder, "conversations"))
+
+
+@query("op7_mixture_packing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
