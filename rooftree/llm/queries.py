@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import exact_dedup, packing, preference, suffix_dedup, url_filter
+from rooftree.llm import bpe, exact_dedup, packing, preference, suffix_dedup, url_filter
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_mixture_packing")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
+
+
+@query("op2_bpe_chunks")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.report(read(spark, folder, "documents"))
