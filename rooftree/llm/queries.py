@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import bpe, exact_dedup, packing, preference, suffix_dedup, url_filter
+from rooftree.llm import bpe, classifier, exact_dedup, packing, preference, suffix_dedup, url_filter
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_bpe_chunks")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.report(read(spark, folder, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
