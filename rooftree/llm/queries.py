@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import bpe, classifier, exact_dedup, packing, preference, suffix_dedup, url_filter
+from rooftree.llm import bpe, classifier, exact_dedup, packing, preference, quality_rules, suffix_dedup, url_filter
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op4_quality_rules")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.report(read(spark, folder, "documents"))
