@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import bpe, classifier, exact_dedup, packing, preference, quality_rules, suffix_dedup, url_filter
+from rooftree.llm import bpe, classifier, exact_dedup, html_text, packing, preference, quality_rules, suffix_dedup, url_filter
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_quality_rules")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.report(read(spark, folder, "documents"))
+
+
+@query("op5_html_text")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read(spark, folder, "pages"))
