@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import bpe, classifier, exact_dedup, html_text, packing, preference, quality_rules, suffix_dedup, url_filter
+from rooftree.llm import bpe, classifier, exact_dedup, html_text, minhash, packing, preference, quality_rules, suffix_dedup, url_filter
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_html_text")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(read(spark, folder, "pages"))
+
+
+@query("op8_minhash_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, folder, "documents"))
