@@ -9,6 +9,7 @@ A queue that runs out drops from the round, the others go on in proportion.
 """
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,6 +28,8 @@ TOKENIZER = "word_bpe_49k.json"
 MAX_QUEUES = 1_024  # the largest sources; all others share the last queue
 CACHE_WORDS = 400_000
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch  # one pre-token, its own normal form
+NO_RANK = (1 << 30)
 
 
 # --- tokens --------------------------------------------------------------------------------------------------------------------
@@ -40,33 +43,102 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+class Merges:
+    """The vocabulary's merges for many plain words at once: in each round every word takes its best pair, the first of equal ones."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        ids = model["vocab"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        keys = np.array([ids[a] << 16 | ids[b] for a, b in pairs], np.uint64)
+        self.made = np.array([ids[a + b] for a, b in pairs], np.int64)
+        self.slots, self.ranks = np.full(1 << 18, np.iinfo(np.uint64).max, np.uint64), np.full(1 << 18, NO_RANK, np.int64)
+        rank, at = np.arange(len(keys)), self._slot(keys)
+        while len(rank):  # open addressing: the first of those that want a slot gets it
+            free = self.slots[at] == np.iinfo(np.uint64).max
+            _, first = np.unique(at[free], return_index=True)
+            won = np.flatnonzero(free)[first]
+            self.slots[at[won]], self.ranks[at[won]] = keys[rank[won]], rank[won]
+            rest = np.ones(len(rank), bool)
+            rest[won] = False
+            rank, at = rank[rest], (at[rest] + 1) & 0x3FFFF
+        shown = {**{b: chr(b) for b in [*range(33, 127), *range(161, 173), *range(174, 256)]}}
+        hidden = [b for b in range(256) if b not in shown]
+        shown |= {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.inner, self.last = (np.array([ids.get(shown[b] + end, 0) for b in range(256)], np.int64) for end in ("", "</w>"))
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+
+    def _rank(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slot(keys)
+        found = self.slots[at]
+        out = np.where(found == keys, self.ranks[at], NO_RANK)
+        open_ = np.flatnonzero((found != keys) & (found != np.iinfo(np.uint64).max))
+        at = at[open_]
+        while len(open_):
+            at = (at + 1) & 0x3FFFF
+            found, want = self.slots[at], keys[open_]
+            hit = found == want
+            out[open_[hit]] = self.ranks[at[hit]]
+            go = ~hit & (found != np.iinfo(np.uint64).max)
+            open_, at = open_[go], at[go]
+        return out
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        size = np.array([len(w) for w in words], np.int64)
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        symbol = self.inner[raw]
+        ends = np.cumsum(size) - 1
+        symbol[ends] = self.last[raw[ends]]
+        word = np.repeat(np.arange(len(words)), size)
+        done: list[bytes] = [b""] * len(words)
+        while len(symbol):
+            rank = np.full(len(symbol), NO_RANK, np.int64)
+            inside = np.flatnonzero(word[1:] == word[:-1])
+            rank[inside] = self._rank((symbol[inside] << 16 | symbol[inside + 1]).astype(np.uint64))
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(symbol)), first)
+            over = best >> 32 == NO_RANK
+            if over.any():
+                stop = np.append(first[1:], len(symbol))
+                packed = symbol.astype("<u2").tobytes()
+                for i, a, b in zip(word[first[over]].tolist(), first[over].tolist(), stop[over].tolist()):
+                    done[i] = packed[2 * a:2 * b]
+            at = best[~over] & 0xFFFFFFFF
+            symbol[at] = self.made[best[~over] >> 32]
+            keep = ~np.repeat(over, np.diff(np.append(first, len(symbol))))
+            keep[at + 1] = False
+            symbol, word = symbol[keep], word[keep]
+        return done
+
+
 class WordCache:
-    """Token ids of words, each distinct word encoded once by the tokenizers library; emptied when it has grown too large.
+    """Token ids of words, each distinct word encoded once; emptied when it has grown too large.
 
     White space only separates in this vocabulary, so the ids of a text are those of its words one after the other.  ASCII
     capitals are the same as small letters except in special tokens, and a full stop or comma between an ASCII letter and
-    white space is a word of its own.
+    white space is a word of its own.  Words of small Latin letters are merged together, all others go to the tokenizers library.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
-        self.tokenizer, self.limit, self.known = _tokenizer(path), limit, {}
+        self.tokenizer, self.merges, self.limit, self.known = _tokenizer(path), Merges(path), limit, {}
 
-    def encode(self, raw: bytes) -> bytes:
-        """Ids of one text as little-endian 16-bit numbers."""
-        words = (raw if b"<|" in raw else _STOP.sub(rb" \1", raw.lower())).split()
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of the texts as little-endian 16-bit numbers."""
+        split = [(t if b"<|" in t else _STOP.sub(rb" \1", t.lower())).split() for t in texts]
         known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
         if len(known) > self.limit:
             known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u2").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        new = list(set().union(*split).difference(known))
+        plain = [w for w in new if _PLAIN(w)]
+        known.update(zip(plain, self.merges.encode(plain)))
+        odd = [w for w in new if w not in known]
+        for w, e in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)):
+            known[w] = np.array(e.ids, "<u2").tobytes()
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 _CACHES: dict[str, WordCache] = {}
@@ -92,7 +164,7 @@ def _tokenize(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[p
     for block in blocks(batches, "text"):
         text, offsets = utf8(block, "text")
         raw = text.tobytes()
-        ids = [cache.encode(raw[a:b]) + end for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+        ids = [i + end for i in cache.encode([raw[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())])]
         yield as_batch(_TOKENS, doc_id=block.column("doc_id"), source=block.column("source"), tokens=[len(i) // 2 for i in ids], ids=ids)
 
 
