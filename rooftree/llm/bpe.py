@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -20,15 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rooftree.llm.common import as_batch, blocks, byte_codes, mix, prefix_hash, range_hash, utf8
+from rooftree.llm.merges import Merges
 
 TOKENIZER = "byte_bpe_50k.json"
 MASK_BITS, LEAST, MOST = 10, 256, 8_192
 CHUNK_CACHE_BYTES = 64 << 20
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
 _GEAR = byte_codes(3)
 _SYNC = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 _UNSURE = re.compile(rb"[\x00-\x20\x80-\xbf] [\x00-\x20\xc2\xe1\xe2\xe3]|<\||\x01")
 _STOP = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,][ \n])")
+_PLAIN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch  # one pre-token
 _LINE = re.compile(rb"(?<=[!-~])\n(?=[!-~])")
 
 
@@ -81,6 +82,16 @@ def sketches(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*columns, pa.array(found)], names=[*names, "sketch"])
 
 
+def _sync_places(raw: bytes) -> list[int]:
+    """The first two and the last two synchronous places (all of them in a chunk with few)."""
+    tail = [m.start() for m in _SYNC.finditer(raw, max(len(raw) - 100, 0))]
+    first = _SYNC.search(raw)
+    second = first and _SYNC.search(raw, first.start() + 1)
+    if len(tail) < 2 or second is None or second.start() > tail[-2]:
+        return [m.start() for m in _SYNC.finditer(raw)]
+    return [first.start(), second.start(), *tail[-2:]]
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
@@ -102,71 +113,80 @@ class ChunkEncoder:
     """Encodes texts from cached chunks and pieces; both caches are bounded."""
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, self.merges = _tokenizer(path), Merges(path)
         self.table = _byte_table(self.tokenizer)
         self.pieces: dict[bytes, bytes] = {}
-        self.chunks: OrderedDict[bytes, tuple | None] = OrderedDict()
+        self.chunks: dict[bytes, tuple | None] = {}
         self.held = 0
 
     def whole(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u2").tobytes() for e in found]
 
-    def encode(self, raw: bytes) -> bytes:
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids (16 bits each) of bytes that start and end at synchronous places, from cached pieces where cuts are safe."""
-        if _UNSURE.search(raw):
-            return self.whole([raw])[0]
-        marked = _LINE.sub(b"\x01\n\x01", _STOP.sub(b"\x01", raw)).replace(b" ", b"\x01 ")
-        words = marked.removeprefix(b"\x01").split(b"\x01")
+        split = [None if _UNSURE.search(t) else _LINE.sub(b"\x01\n\x01", _STOP.sub(b"\x01", t)).replace(b" ", b"\x01 ").removeprefix(b"\x01").split(b"\x01")
+                 for t in texts]
         known = self.pieces
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
         if len(known) > CACHE_PIECES:
             known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        known.update(zip(new, self.whole(new)))
-        return b"".join(map(known.__getitem__, words))
-
-    def chunk(self, raw: bytes) -> tuple | None:
-        """(head, first piece and its ids, ids of the body, last piece and its ids, tail); None without two synchronous places."""
-        key = hashlib.blake2b(raw, digest_size=16).digest()
-        if key in self.chunks:
-            self.chunks.move_to_end(key)
-            return self.chunks[key]
-        at = [m.start() for m in _SYNC.finditer(raw)]
-        made = None
-        if len(at) > 1:
-            first, last = raw[at[0]:at[1]], raw[at[-2]:at[-1]]
-            made = (raw[:at[0]], first, self.encode(first), self.encode(raw[at[0]:at[-1]]), last, self.encode(last), raw[at[-1]:])
-        self.chunks[key] = made
-        self.held += 200 + (len(raw) * 2 if made else 0)
-        while self.held > CHUNK_CACHE_BYTES:
-            _, old = self.chunks.popitem(last=False)
-            self.held -= 200 + (2 * (len(old[3]) * 2) if old else 0)
-        return made
-
-    def document(self, parts: list[bytes]) -> bytes:
-        out: list[bytes | None] = []
-        windows: list[tuple[int, bytes, bytes, bytes]] = []  # place in out, window, ids known on its left and right
-        pending, left, left_ids = b"", b"", b""
-        for part in parts:
-            made = self.chunk(part)
-            if made is None:
-                pending += part
-                continue
-            head, first, first_ids, body, last, last_ids, tail = made
-            windows.append((len(out), left + pending + head + first, left_ids, first_ids))
-            out += [None, body]
-            pending, left, left_ids = tail, last, last_ids
-        windows.append((len(out), left + pending, left_ids, b""))
-        out.append(None)
-        for (place, window, before, after), ids in zip(windows, self.whole([w[1] for w in windows])):
-            if not (ids.startswith(before) and ids.endswith(after) and len(ids) >= len(before) + len(after)):
-                return self.whole([b"".join(parts)])[0]  # the pieces do not agree
-            out[place] = ids[len(before):len(ids) - len(after)]
-        return b"".join(out)
+        new = list(set().union(*(s for s in split if s)).difference(known))
+        plain = [w for w in new if _PLAIN(w)]
+        known.update(zip(plain, self.merges.encode(plain)))
+        odd = [w for w in new if w not in known]
+        known.update(zip(odd, self.whole(odd)))
+        direct = iter(self.whole([t for t, s in zip(texts, split) if s is None]))
+        return [next(direct) if s is None else b"".join(map(known.__getitem__, s)) for s in split]
+
+    def _learn(self, chunks: dict[bytes, bytes]) -> None:
+        """Encode chunks that are not cached: (head, first piece and its ids, ids of the body, last piece and its ids, tail) each;
+        None without two synchronous places."""
+        made, wanted = [], []
+        for key, raw in chunks.items():
+            at = _sync_places(raw)
+            if len(at) > 1:
+                made.append((key, raw, at))
+                wanted += [raw[at[0]:at[1]], raw[at[0]:at[-1]], raw[at[-2]:at[-1]]]
+            else:
+                self.chunks[key] = None
+            self.held += 200 + 2 * len(raw)
+        ids = self.encode(wanted)
+        for i, (key, raw, at) in enumerate(made):
+            self.chunks[key] = (raw[:at[0]], wanted[3 * i], ids[3 * i], ids[3 * i + 1], wanted[3 * i + 2], ids[3 * i + 2], raw[at[-1]:])
+
+    def documents(self, texts: list[list[bytes]]) -> list[bytes]:
+        """Ids of each text, given as its chunks."""
+        if self.held > CHUNK_CACHE_BYTES:
+            self.chunks.clear()
+            self.held = 0
+        keys = [[hashlib.blake2b(p, digest_size=16).digest() for p in parts] for parts in texts]
+        self._learn({k: p for own, parts in zip(keys, texts) for k, p in zip(own, parts) if k not in self.chunks})
+        windows: list[tuple[int, int, bytes, bytes, bytes]] = []  # text, place in its list, window, ids known on its left and right
+        lists: list[list[bytes]] = []
+        for t, (own, parts) in enumerate(zip(keys, texts)):
+            out: list[bytes] = []
+            pending, left, left_ids = b"", b"", b""
+            for key, part in zip(own, parts):
+                made = self.chunks[key]
+                if made is None:
+                    pending += part
+                    continue
+                head, first, first_ids, body, last, last_ids, tail = made
+                windows.append((t, len(out), left + pending + head + first, left_ids, first_ids))
+                out += [b"", body]
+                pending, left, left_ids = tail, last, last_ids
+            windows.append((t, len(out), left + pending, left_ids, b""))
+            out.append(b"")
+            lists.append(out)
+        differ = set()
+        for (t, place, _, before, after), ids in zip(windows, self.whole([w[2] for w in windows])):
+            if ids.startswith(before) and ids.endswith(after) and len(ids) >= len(before) + len(after):
+                lists[t][place] = ids[len(before):len(ids) - len(after)]
+            else:
+                differ.add(t)  # the pieces do not agree: the window grows to the whole text
+        for t in differ:
+            lists[t] = self.whole([b"".join(texts[t])])
+        return [b"".join(x) for x in lists]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.table.__getitem__, ids.tolist())).decode(errors="replace")
@@ -187,8 +207,8 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str | None, digest: bool) -
         text, offsets = utf8(block, "text")
         raw, rows = text.tobytes(), []
         ends = cuts(text, offsets) if len(text) else [[] for _ in range(block.num_rows)]
-        for doc_id, a, own in zip(block.column("doc_id").to_pylist(), offsets.tolist(), ends):
-            packed = encoder.document([raw[x:y] for x, y in zip([a, *own[:-1]], own)]) if own else b""
+        parts = [[raw[x:y] for x, y in zip([a, *own[:-1]], own)] for a, own in zip(offsets.tolist(), ends)]
+        for doc_id, packed in zip(block.column("doc_id").to_pylist(), encoder.documents(parts)):
             ids = np.frombuffer(packed, "<u2")
             body, plain = ids.astype("<u4").tobytes(), encoder.decode(ids)
             rows.append((doc_id, len(ids), hashlib.sha256(body).hexdigest(), hashlib.sha256(plain.encode()).hexdigest()) if digest
