@@ -85,7 +85,7 @@ _TEXT_FIELDS = ("commercial_subtype", "layout_type", "condition", "fitout", "hea
                 "contact_name", "agency_name")
 
 
-def normalize_commercial(df: DataFrame, rates=None, region=in_region, max_photos: int = 30) -> DataFrame:
+def normalize_commercial(df: DataFrame, rates=None, region=in_region, max_photos: int | None = None) -> DataFrame:
     """Extracted page fields to the wide commercial record: prices and rates, areas, 17 text flags, copy, errors."""
     g = lambda name: _get(df, name)
     c = {n: clean_text(g(n)) for n in ("title", "description", "address", "district", "street", "price_raw")}
@@ -116,11 +116,12 @@ def normalize_commercial(df: DataFrame, rates=None, region=in_region, max_photos
              .when(F.col("__in"), "kyiv_or_oblast").otherwise("outside_kyiv_region"))
     photos = F.col("photos") if "photos" in df.columns else F.array().cast("array<string>")
     raw_phone = F.coalesce(filled(g("phones").cast("string")), g("contact_phone"), F.lit(""))
+    ranked = rank_photos(photos, g("photo_url"))
     df = df.withColumns({
         "__m": money("__p.total", "__p.currency"), "__r": money("__p.rate", "__p.rate_currency"),
         "__floor": F.when(~bad & (floor0 >= 0), floor0).try_cast("bigint"),
         "__floors": F.when(~bad & (total0 > 0), total0).try_cast("bigint"),
-        "__label": F.when(bad, "").otherwise(label0), "__photos": F.slice(rank_photos(photos, g("photo_url")), 1, max_photos)})
+        "__label": F.when(bad, "").otherwise(label0), "__photos": ranked if max_photos is None else F.slice(ranked, 1, max_photos)})
     kind = clean_text(g("commercial_type"))
     out = df.select(
         "source", "operation", "external_id", "url",

@@ -131,9 +131,20 @@ def first_run(ranked: DataFrame, by: list[str], flag: Column, k: int, pos: str =
     return long_enough.groupBy(*by).agg((F.min("range_start") + (k - 1)).alias("run_pos"))
 
 
-def per_group_top(df: DataFrame, by: list[str], order: list[Column], k: int, name: str = "group_rank") -> DataFrame:
-    """First ``k`` rows per group; Spark pre-limits every map task, so hot groups stay small."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(name) <= k)
+PRE_LIMIT = 1_000  # the engine limits every map task by itself up to this rank
+
+
+def per_group_top(df: DataFrame, by: list[str], order: list[Column], k: int, name: str = "group_rank", salts: int = SALTS) -> DataFrame:
+    """First ``k`` rows per group; hot groups stay spread for every ``k``.
+
+    Up to ``PRE_LIMIT`` the engine cuts each map task's rows; above it, the first ``k`` of each (group, salt) are taken before
+    the first ``k`` of the group.
+    """
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    if k > PRE_LIMIT:
+        salted = df.withColumn("__salt", F.pmod(_spread(df, by), F.lit(salts)))
+        df = salted.withColumn("__first", rank(*by, "__salt")).where(F.col("__first") <= k).drop("__first", "__salt")
+    return df.withColumn(name, rank(*by)).where(F.col(name) <= k)
 
 
 _STEP = "CAST(10000000000000000000 AS DECIMAL(20, 0))"  # above every 64-bit id

@@ -1,7 +1,8 @@
 """Mutations as pure snapshot functions: (current, incoming) -> new snapshot.
 
 One full outer join on the key and one generated expression per column; results are meant to be written
-to a new path.  The join sees one row per key on both sides, so a hot key cannot exist there.
+to a new path.  Repeated incoming keys are folded to one row per key first (map-side combined, on the join's own
+partitioning), so the join sees one row per key and a hot key cannot exist there.
 """
 from __future__ import annotations
 
@@ -25,6 +26,33 @@ def latest_per_key(df: DataFrame, keys, order: list[str]) -> DataFrame:
     return best.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+_KEPT_BY = {"non_blank": lambda c: ~is_blank(c), "non_null": lambda c: F.col(c).isNotNull(), "non_empty": lambda c: F.size(c) > 0,
+            "unless_unknown": lambda c: F.col(c) != "unknown"}
+
+
+def _orderable(kind) -> bool:
+    return not any(part in kind.simpleString() for part in ("map<", "variant", "interval"))
+
+
+def fold_repeats(incoming: DataFrame, keys, policy: dict, default: str, order: list[str] | None) -> DataFrame:
+    """One incoming row per key, as merging row after row in ``order`` would leave it; ``__n`` counts the rows.
+
+    Without ``order`` the rows of a key follow each other by all their values, which is deterministic.
+    """
+    rest = [f for f in incoming.schema.fields if f.name not in keys]
+    along = F.struct(*(order or [f.name for f in rest if _orderable(f.dataType)]), F.lit(0).alias("__last"))
+
+    def last(name):
+        rule = policy.get(name, default)
+        if rule == "keep":
+            return F.min_by(name, along)
+        kept = _KEPT_BY.get(rule) if isinstance(rule, str) else None
+        newest = F.max_by(name, along)
+        return newest if kept is None else F.coalesce(F.max_by(name, F.when(kept(name), along)), newest)
+
+    return incoming.groupBy(*keys).agg(*[last(f.name).alias(f.name) for f in rest], F.count(F.lit(1)).alias("__n"))
+
+
 def _merge_column(name: str, policy, asof: Column, hit: Column) -> Column:
     """New value of a column for a key that exists on both sides."""
     old, new = F.col(f"__cur.{name}"), F.col(f"__inc.{name}")
@@ -36,19 +64,22 @@ def _merge_column(name: str, policy, asof: Column, hit: Column) -> Column:
             "non_empty": lambda: F.when(F.size(new) > 0, new).otherwise(old),
             "unless_unknown": lambda: F.when(new != "unknown", new).otherwise(old),
             "sticky": lambda: F.when(old.isin(*D.STICKY_STATUS), old).otherwise("active"),
-            "increment": lambda: old + 1, "asof": lambda: asof}[policy]()
+            "increment": lambda: old + F.col("__inc.__n"), "asof": lambda: asof}[policy]()
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys=KEY, policy: dict | None = None, asof="current_date()",
-           default: str = "overwrite", guard: Column | None = None) -> DataFrame:
+           default: str = "overwrite", guard: Column | None = None, order: list[str] | None = None) -> DataFrame:
     """Insert new keys, merge known ones by per-column policy, keep the rest unchanged.
 
+    A key may repeat in ``incoming``: its rows are merged in ``order`` (see ``fold_repeats``), the last one wins.
+
     ``guard`` (over the current row's columns) protects matching rows from any change.
     """
     keys, policy = list(keys), policy or {}
     now = F.expr(asof) if isinstance(asof, str) else asof
     cols = current.columns
     inc = incoming.select(*keys, *[c for c in cols if c in incoming.columns and c not in keys])
+    inc = fold_repeats(inc, keys, policy, default, order)
     cur_side = current.withColumn("__guard", F.coalesce(guard, F.lit(False)) if guard is not None else F.lit(False))
     rest = [c for c in cols if c not in keys]
     left = cur_side.select(*keys, F.struct(F.lit(1).alias("__hit"), "__guard", *rest).alias("__cur"))
@@ -70,6 +101,7 @@ def upsert(current: DataFrame, incoming: DataFrame, keys=KEY, policy: dict | Non
         else:
             merged = _merge_column(name, rule, now, fresh)
             first = now if rule == "asof" else F.col(f"__inc.{name}")
+            first = first + F.col("__inc.__n") - 1 if rule == "increment" else first
         return F.when(touch, merged.cast(kind)).when(known, F.col(f"__cur.{name}")).otherwise(first.cast(kind)).alias(name)
 
     return joined.select(*[value(c) for c in cols])
@@ -116,7 +148,9 @@ def upsert_raw(current: DataFrame, incoming: DataFrame, asof: str, keys=KEY) ->
     return upsert(current, incoming, keys, {"retry_count": "increment", "created_at": "keep", "updated_at": "asof"}, asof)
 
 
-def insert_if_absent(current: DataFrame, incoming: DataFrame, keys=KEY) -> DataFrame:
+def insert_if_absent(current: DataFrame, incoming: DataFrame, keys=KEY, order: list[str] | None = None) -> DataFrame:
+    """Rows of new keys; of several incoming rows of a key the first in ``order`` (by default: by all values) goes in."""
+    incoming = fold_repeats(incoming.select(*current.columns), list(keys), {}, "keep", order)
     return current.unionByName(incoming.join(current.select(*keys), list(keys), "left_anti").select(*current.columns))
 
 

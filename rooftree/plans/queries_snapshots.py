@@ -292,3 +292,16 @@ SELECT kind, field, count(*) AS n, array_to_string(list_sort(list(k ORDER BY k))
 def _(t):
     out = RC.mismatch_report(_grid(t.listings), _grid(t.listings_in, decimal=True), "external_id", ("seen",))
     return out.select("kind", "field", "n", F.array_join("sample", ",").alias("sample"))
+
+
+@query("upsert_repeated_keys", """
+WITH inc AS (SELECT l_orderkey AS k, l_linenumber AS step, l_extendedprice AS price,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_extendedprice DESC) AS rn FROM lineitem),
+cur AS (SELECT o_orderkey AS k, o_totalprice AS price FROM orders WHERE o_orderstatus = 'F')
+SELECT k, CAST(coalesce(i.step, 0) AS BIGINT) AS step, coalesce(i.price, c.price) AS price
+FROM cur c FULL JOIN (SELECT * FROM inc WHERE rn = 1) i USING (k)""")
+def upsert_repeated_keys(t):
+    """Every line updates its order's row, one after the other; the last line wins."""
+    known = t.orders.where("o_orderstatus = 'F'").selectExpr("o_orderkey AS k", "CAST(0 AS BIGINT) AS step", "o_totalprice AS price")
+    incoming = t.lineitem.selectExpr("l_orderkey AS k", "CAST(l_linenumber AS BIGINT) AS step", "l_extendedprice AS price")
+    return S.upsert(known, incoming, ["k"], order=["step", "price"])

@@ -57,13 +57,33 @@ def product_json(html) -> Column:
     return F.try_element_at(F.filter(items, lambda i: i["@type"] == "Product"), F.lit(1))
 
 
+def _without_dots(url: str) -> Column:
+    """A url whose ``.`` and ``..`` path segments are resolved."""
+    root, tail = F.regexp_extract(url, r"^(https?://[^/?#]+)", 1), F.regexp_extract(url, r"([?#].*)$", 1)
+    parts = F.split(F.regexp_extract(url, r"^https?://[^/?#]+/?([^?#]*)", 1), "/")
+    start = F.array().cast("array<string>")
+    walked = F.aggregate(parts, start, lambda done, part: F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+                         .when(part == ".", done).otherwise(F.concat(done, F.array(part))))
+    return F.concat(root, F.lit("/"), F.array_join(walked, "/"), tail)
+
+
 def extract_links(pages: DataFrame, pattern: str = r"<a\b[^>]*\bhref\s*=\s*[\"']([^\"']+)[\"']", base: Column | None = None,
                   scope: str | None = None, html: str = "html", key: str = "page_id") -> DataFrame:
-    """Distinct absolute links of each page, optionally only those that match ``scope``."""
+    """Distinct absolute links of each page, optionally only those that match ``scope``.
+
+    Every relative form is resolved against the page's address (or ``base``); links to other schemes and to places in the
+    page itself are left out.
+    """
     links = F.array_distinct(F.regexp_extract_all(html, F.lit("(?iu)" + pattern), 1))
-    root = base if base is not None else rx("url", r"^(https?://[^/]+)", 1, "")
-    out = pages.select(key, F.explode(links).alias("href"), root.alias("root"))
-    out = out.withColumn("href", F.when(F.col("href").startswith("/"), F.concat("root", "href")).otherwise(F.col("href")))
+    address = base if base is not None else F.col("url")
+    out = pages.select(key, F.explode(links).alias("href"), F.regexp_extract(address, r"^([^?#]*)", 1).alias("address"))
+    out = out.withColumn("root", F.regexp_extract("address", r"^(https?://[^/]+)", 1)).where(~F.col("href").startswith("#"))
+    folder = F.when(F.col("address") == F.col("root"), F.concat("root", F.lit("/"))).otherwise(F.regexp_extract("address", r"^(.*/)", 1))
+    href = F.col("href")
+    full = (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract("root", "^(https?:)", 1), href))
+            .when(href.startswith("/"), F.concat("root", href)).when(href.startswith("?"), F.concat("address", href)).otherwise(F.concat(folder, href)))
+    out = out.withColumn("full", full)
+    out = out.withColumn("href", F.when(F.col("full").rlike(r"/\.{1,2}(/|$|[?#])"), _without_dots("full")).otherwise(F.col("full")))
     out = out.where(F.col("href").startswith("http")).select(key, "href")
     return (out if scope is None else out.where(has("href", scope, ""))).distinct()
 
@@ -174,7 +194,7 @@ def board_fields(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     title = F.coalesce("ld.name", "og_title", "h1")
     place = F.concat_ws(" ", title, _first("location"))
     context = F.concat_ws(" ", place, F.coalesce(long_text, "ld.description", "meta_description"))
-    photos = F.coalesce(F.when(F.size("ld.image") > 0, F.col("ld.image")), F.slice(F.filter("images", lambda u: u.startswith("http")), 1, 20))
+    photos = F.coalesce(F.when(F.size("ld.image") > 0, F.col("ld.image")), F.filter("images", lambda u: u.startswith("http")))
     return j.select(
         key, title.alias("title"), F.coalesce(long_text, "ld.description", "meta_description").alias("description"),
         F.coalesce("ld.offers.price", _first("price")).alias("price_raw"),
@@ -196,7 +216,7 @@ def agency_fields(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     pos = F.lower(_first("position"))
     labels = _first("labels")
     fee = rx(labels, r"Комісія\s*([\d]+%?)")
-    photos = F.slice(F.array_distinct(F.filter("images", lambda u: u.startswith("http"))), 1, 20)
+    photos = F.array_distinct(F.filter("images", lambda u: u.startswith("http")))
     comma = lambda c: F.replace(c, F.lit(","), F.lit("."))
     return j.select(
         key, F.col("h1").alias("title"), _first("description").alias("description"),
