@@ -7,12 +7,10 @@ from __future__ import annotations
 
 # --- sources and catalogs ---------------------------------------------------------------------
 AGGREGATOR_PREFIX = "feed"
-CHECKED_SOURCES = ["olx", "rieltor"]
 CATALOGS = ["apartments", "houses", "commercial"]
 STICKY_STATUS = ["quarantine", "archived"]
 STATUS_LABELS = {"active": "Актуальне", "inactive": "Неактуальне", "quarantine": "На перевірці", "archived": "Архів"}
 STATUS_UNKNOWN = "На перевірці"
-OPERATION_LABELS = {"rent": "Оренда", "buy": "Продаж"}
 FLAT, HOUSE = "Квартира", "Будинок"
 
 # --- prices -----------------------------------------------------------------------------------
@@ -62,8 +60,6 @@ REGION_TOKENS = [
     "зазим", "лебедів", "лебедев", "пухів", "пухов", "килів", "ржищ"]
 
 # --- quality gate -----------------------------------------------------------------------------
-CITY_NAMES = ["Київ", "Киев", "Kyiv", ""]
-ALLOWED_TYPES = ["Квартира", "apartment", "квартира", "Будинок", "house", "будинок", ""]
 HOUSE_TYPES = ["Будинок", "house", "будинок"]
 # reason code -> SQL condition, in the order in which the first match wins
 QUALITY_RULES = [
@@ -131,7 +127,6 @@ SENSITIVE_SENTENCE = (
     r"(?:\bolx\b|\brieltor\b|рієлтор|риелтор|\bагент\w*|\bвласник\w*|\bвладелец\w*|комісі|комисси|\bтелефон\w*|"
     r"\bзателеф\w*|\bдзвон\w*|whatsapp|telegram|\+?38[\s()\-]*0\d{2}[\s()\-]*\d{3}[\s()\-]*\d{2}[\s()\-]*\d{2})")
 TITLE_SUFFIX = r"\s*(?:[-–—]|\|)\s*(?:оголошення|объявление)\s*№?\s*\d+.*$"
-TEXT_LIMIT = 49_000
 MIN_SENTENCE = 12
 DETAILED_MIN = 180
 
@@ -250,4 +245,9 @@ GRID_HEADERS = [
     "AI Description", "UAH", "USD", "EUR", "Rooms", "Area", "Floor", "Floors Total", "District", "City", "Street",
     "Residential Complex", "Metro", "Agent Type", "Agent Name", "Agent Phone", "Commission", "Created At",
     "Updated At", "Коментарі", "Telegraph UA", "Telegraph EN"]
-GRID_IGNORED = ["Фото", "Created At", "Updated At", "Коментарі", "Telegraph UA", "Telegraph EN"]
+# Cell widths of the published sheet, by column; ids are never cut.
+GRID_WIDTHS = {
+    "external_id": 40, "source": 20, "operation": 10, "property_type": 500, "url": 500, "title": 300, "ai_title": 200,
+    "description": 49_000, "ai_description": 49_000, "rooms": 5, "area": 10, "floor": 5, "floors_total": 5, "district": 50,
+    "city": 500, "street": 100, "residential_complex": 80, "metro_station": 50, "agent_type": 30, "agent_name": 80,
+    "agent_phone": 50, "commission": 50, "created_at": 19, "updated_at": 19, "comments": 100}

@@ -81,15 +81,15 @@ def action_label(row) -> Column:
     return F.when(_field(row, "operation") == "rent", "Оренда").otherwise("Продаж")
 
 
-def build_title(row, limit: int = 160) -> Column:
+def build_title(row, limit: int | None = None) -> Column:
     district = some(clean_text(_field(row, "district")))
     place = F.coalesce(_sentence("у ЖК «", complex_name(row), "»"), _sentence("у ", district, " районі"),
                        F.lit("у Києві"))
     area = _sentence(some(number_text(_field(row, "area"))), " м²")
-    return F.substring(F.concat_ws(" ", action_label(row), object_name(row, True), area, place), 1, limit)
+    return cut(F.concat_ws(" ", action_label(row), object_name(row, True), area, place), limit)
 
 
-def build_summary(row, limit: int = 800) -> Column:
+def build_summary(row, limit: int | None = None) -> Column:
     verb = F.when(_field(row, "operation") == "rent", "Пропонується в оренду").otherwise("Пропонується до продажу")
     area = some(number_text(_field(row, "area")))
     first = F.concat(verb, F.lit(" "), object_name(row), F.coalesce(_sentence(" площею ", area, " м²"), F.lit("")),
@@ -97,7 +97,7 @@ def build_summary(row, limit: int = 800) -> Column:
     floor, floors = [some(number_text(_field(row, f))) for f in ("floor", "floors_total")]
     level = F.coalesce(_sentence("Поверх ", floor, " із ", floors, "."), _sentence("Поверх ", floor, "."),
                        F.when(is_house(row), _sentence("Будинок має ", floors, " поверхи.")))
-    return F.substring(F.concat_ws(" ", first, _sentence("Розташування: ", _places(row), "."), level), 1, limit)
+    return cut(F.concat_ws(" ", first, _sentence("Розташування: ", _places(row), "."), level), limit)
 
 
 def rooms_phrase(c) -> Column:
@@ -122,7 +122,7 @@ def word_count(c) -> Column:
     return F.size(F.filter(F.split(clean_text(c), " "), lambda w: w != ""))
 
 
-def fallback_detailed(row, source, limit: int | None = D.TEXT_LIMIT) -> Column:
+def fallback_detailed(row, source, limit: int | None = None) -> Column:
     """Summary, then the redacted source text; facts are repeated only below 100 words."""
     details = some(redact_text(source, limit=limit))
     body = F.concat(build_summary(row), F.coalesce(
@@ -148,13 +148,13 @@ def locative(c: Column) -> Column:
     return F.regexp_replace(c, "ий$", "ому")
 
 
-def commercial_title(row, limit: int = 180) -> Column:
+def commercial_title(row, limit: int | None = None) -> Column:
     area = _sentence(some(number_text(_field(row, "area_total_m2"))), " м²")
     district = _sentence("у ", locative(some(clean_fact(_field(row, "district")))), " районі")
-    return F.substring(F.concat_ws(" ", action_label(row), commercial_name(row, True), area, district), 1, limit)
+    return cut(F.concat_ws(" ", action_label(row), commercial_name(row, True), area, district), limit)
 
 
-def commercial_description(row, limit: int | None = D.TEXT_LIMIT) -> Column:
+def commercial_description(row, limit: int | None = None) -> Column:
     action = F.when(_field(row, "operation") == "rent", "в оренду").otherwise("до продажу")
     area = _sentence(" загальною площею ", some(number_text(_field(row, "area_total_m2"))), " м²")
     first = F.concat(F.lit("Пропонується "), action, F.lit(" "), commercial_name(row), F.coalesce(area, F.lit("")),
@@ -172,15 +172,14 @@ def commercial_description(row, limit: int | None = D.TEXT_LIMIT) -> Column:
 
 
 # ---- feed ------------------------------------------------------------------------------------
-def feed_title(row, limit: int = 160) -> Column:
+def feed_title(row, limit: int | None = None) -> Column:
     shown = F.coalesce(some(_field(row, "property_type")), some(_field(row, "title")))
     area = _field(row, "area").cast("string")
-    return F.substring(F.concat_ws(" ", action_label(row), shown,
-                                   _sentence(F.when(_field(row, "area") != 0, area), " м²"),
-                                   _sentence("у ", some(_field(row, "district")), " районі")), 1, limit)
+    return cut(F.concat_ws(" ", action_label(row), shown, _sentence(F.when(_field(row, "area") != 0, area), " м²"),
+                           _sentence("у ", some(_field(row, "district")), " районі")), limit)
 
 
-def feed_description(row, limit: int | None = D.TEXT_LIMIT) -> Column:
+def feed_description(row, limit: int | None = None) -> Column:
     details = some(redact_phrases(_field(row, "description"), limit=limit))
     return cut(F.concat(feed_title(row), F.lit("."), F.coalesce(_sentence("\n\nДеталі об’єкта:\n", details),
                                                                 F.lit(""))), limit)
@@ -257,10 +256,10 @@ def agency_description(row, agency: str, catalog="catalog") -> Column:
     return F.concat_ws("\n\n", opening, source, F.lit(closing))
 
 
-def clean_title(title, listing_id, agency: str, limit: int = 220) -> Column:
+def clean_title(title, listing_id, agency: str, limit: int | None = None) -> Column:
     """Publishable title without a listing-number tail, plus the listing id."""
     text = drop(F.replace(publishable_text(title), F.lit("\n"), F.lit(" ")), D.TITLE_SUFFIX)
-    text = F.substring(clean_text(text), 1, limit)
+    text = cut(clean_text(text), limit)
     return F.concat(F.coalesce(some(text), F.lit(agency)), F.lit(" · #"), as_col(listing_id).cast("string"))
 
 

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from rooftree import defaults as D
 from rooftree.functions.facts import label_for
-from rooftree.functions.text import as_col, display_id, let, some
+from rooftree.functions.text import as_col, cut, display_id, let, some
 
 
-def safe_text(c, limit: int = 500) -> Column:
-    """Trimmed, cut, none-like values blank, and a quote before anything a grid would run as a formula."""
+def safe_text(c, limit: int | None = None) -> Column:
+    """Trimmed, cut if a width is given, none-like values blank, and a quote before anything a grid would run as a formula."""
     def shown(s):
-        cell = F.substring(s, 1, limit)
+        cell = cut(s, limit)
         return (F.when(F.lower(s).isin("none", "null", "false"), "")
                 .when(s.rlike(r"^[=+\-@]"), F.concat(F.lit("'"), cell)).otherwise(cell))
 
@@ -25,7 +25,7 @@ def safe_int(c) -> Column:
 
 def number_cell(c) -> Column:
     shown = lambda v: F.when(v == F.floor(v), v.try_cast("bigint").cast("string")).otherwise(v.cast("string"))
-    return F.coalesce(let(as_col(c).cast("string").try_cast("double"), shown), safe_text(c, 50))
+    return F.coalesce(let(as_col(c).cast("string").try_cast("double"), shown), safe_text(c))
 
 
 def image_cell(url) -> Column:
@@ -45,12 +45,11 @@ def floor_display(floor, total, label) -> Column:
         return (F.when((f != "") & (t != ""), F.when((tag != "") & (tag != f), F.concat(tag, F.lit("; "), pair))
                        .otherwise(pair)).when(tag != "", tag).otherwise(f))
 
-    return let(F.struct(number_cell(floor).alias("f"), number_cell(total).alias("t"), safe_text(label, 80).alias("tag")), shown)
+    return let(F.struct(number_cell(floor).alias("f"), number_cell(total).alias("t"), safe_text(label).alias("tag")), shown)
 
 
 def address_display(city, street) -> Column:
-    part = lambda c, n: some(safe_text(c, n))
-    return F.concat_ws(", ", part(city, 80), part(street, 160))
+    return F.concat_ws(", ", some(safe_text(city)), some(safe_text(street)))
 
 
 def _without(cell: Column, *values) -> Column:
@@ -61,22 +60,21 @@ def _or(cell: Column, default: str) -> Column:
     return let(cell, lambda v: F.when(v == "", default).otherwise(v))
 
 
-def listing_grid_spec() -> dict[str, Column]:
-    """Column spec of the 32-column display grid."""
-    t = safe_text
+def listing_grid_spec(widths: dict[str, int] | None = None) -> dict[str, Column]:
+    """Column spec of the 32-column display grid; ``widths`` cuts the cells of the named columns, ``D.GRID_WIDTHS`` as the sheet does."""
+    widths = widths or {}
+    t = lambda name, value=None: safe_text(name if value is None else value, widths.get(name))
     cells = [
-        t("id", 12), t(display_id("source", "url", "external_id"), 40), image_cell("photo_url"), t("source", 20),
-        t("operation", 10), _or(t("property_type"), D.FLAT), t("url", 500), t("title", 300), t("ai_title", 200),
-        t("description", D.TEXT_LIMIT), t("ai_description", D.TEXT_LIMIT), safe_int("price_uah"),
-        safe_int("price_usd"), safe_int("price_eur"), t("rooms", 5), t("area", 10), t("floor", 5),
-        t("floors_total", 5), t("district", 50), _or(t("city"), D.CITY), t("street", 100),
-        t("residential_complex", 80), t("metro_station", 50), _without(t("agent_type", 30), "unknown", "none"),
-        t("agent_name", 80), t("agent_phone", 50), _without(t("commission", 50), "false", "none", "0"),
-        t("created_at", 19), t("updated_at", 19), t("comments", 100), F.lit(""), F.lit("")]
+        t("id"), t("external_id", display_id("source", "url", "external_id")), image_cell("photo_url"), t("source"),
+        t("operation"), _or(t("property_type"), D.FLAT), t("url"), t("title"), t("ai_title"), t("description"),
+        t("ai_description"), safe_int("price_uah"), safe_int("price_usd"), safe_int("price_eur"), t("rooms"), t("area"),
+        t("floor"), t("floors_total"), t("district"), _or(t("city"), D.CITY), t("street"), t("residential_complex"),
+        t("metro_station"), _without(t("agent_type"), "unknown", "none"), t("agent_name"), t("agent_phone"),
+        _without(t("commission"), "false", "none", "0"), t("created_at"), t("updated_at"), t("comments"), F.lit(""), F.lit("")]
     return dict(zip(D.GRID_HEADERS, cells))
 
 
 def display_projection(df: DataFrame, spec: dict[str, Column] | None = None) -> DataFrame:
-    """Project rows to display strings by a header -> expression spec."""
+    """Project rows to display strings by a header -> expression spec; whole texts unless the spec has widths."""
     spec = spec or listing_grid_spec()
     return df.select(*[expr.alias(header) for header, expr in spec.items()])

@@ -93,12 +93,6 @@ def extract_street(c, min_len: int = 4, max_len: int = 160, reject: str = STREET
     return let(value, lambda v: F.when(F.length(v).between(min_len, max_len) & ~has(v, reject), v))
 
 
-def street_with_type(c) -> Column:
-    """Street including its type word (commercial pages)."""
-    value = rx(c, r"(?<![\wіїєґ])(" + STREET_TYPES + r"\s*[^,\n|/()]{2,100})")
-    return F.coalesce(F.regexp_replace(clean_text(value), r"\.+$", ""), F.lit(""))
-
-
 def rooms_from_text(c) -> Column:
     return rx(c, r"(\d)\s*-?\s*(?:кімн|комн|к\.?\s)").try_cast("bigint")
 

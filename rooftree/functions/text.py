@@ -148,11 +148,12 @@ def _rejoin(paragraphs: Column, keep_sentence, splitter: str = regex(r"(?<=[.!?]
 
 
 def cut(c: Column, limit: int | None) -> Column:
+    """The whole text, or its first ``limit`` characters where the caller asks for a cut."""
     return c if limit is None else F.substring(c, 1, limit)
 
 
 def redact_text(c, banned: str = D.BANNED, redactions=tuple(D.REDACTIONS), phone: str = D.PHONE_SHAPE,
-                url: str = D.URL_SHAPE, min_len: int = D.MIN_SENTENCE, limit: int | None = D.TEXT_LIMIT) -> Column:
+                url: str = D.URL_SHAPE, min_len: int = D.MIN_SENTENCE, limit: int | None = None) -> Column:
     """Drop phones, links, foreign-language tail and contact phrases; keep clean sentences only."""
     def before_marker(text):
         head = F.element_at(F.split(text, regex(D.ENGLISH_MARKER), 2), 1)  # whole text when there is no marker
@@ -174,7 +175,7 @@ def redact_text(c, banned: str = D.BANNED, redactions=tuple(D.REDACTIONS), phone
 
 
 def redact_plain(c, banned: str = D.COMMERCIAL_BANNED, phone: str = D.PHONE_SHAPE, url: str = D.URL_SHAPE,
-                 min_len: int = D.MIN_SENTENCE, limit: int | None = D.TEXT_LIMIT) -> Column:
+                 min_len: int = D.MIN_SENTENCE, limit: int | None = None) -> Column:
     """Sentence filter on one line: no phones, no links, no banned or very short sentences."""
     text = drop(drop(F.coalesce(as_col(c), F.lit("")), phone), url)
     parts = F.transform(F.split(text, regex(r"(?<=[.!?])\s+|\n+")), clean_text)
@@ -183,12 +184,12 @@ def redact_plain(c, banned: str = D.COMMERCIAL_BANNED, phone: str = D.PHONE_SHAP
 
 
 def redact_phrases(c, phrases: str = D.FEED_CONTACT, phone: str = D.PHONE_SHAPE,
-                   limit: int | None = D.TEXT_LIMIT) -> Column:
+                   limit: int | None = None) -> Column:
     """Cut phones and contact phrases out of the text, keep the rest."""
     return cut(clean_text(drop(drop(F.coalesce(as_col(c), F.lit("")), phone), phrases)), limit)
 
 
-def publishable_text(c, sensitive: str = D.SENSITIVE_SENTENCE, limit: int | None = 18_000) -> Column:
+def publishable_text(c, sensitive: str = D.SENSITIVE_SENTENCE, limit: int | None = None) -> Column:
     """Plain text for a public page: no markup, no sentence that names a site, an agent or a phone."""
     paragraphs = F.transform(F.split(strip_html(c), r"\n{2,}"), clean_text)
     return cut(_rejoin(paragraphs, lambda s: F.when((s != "") & ~has(s, sensitive), s), regex(r"(?<=[.!?])\s+")), limit)
@@ -207,14 +208,15 @@ def number_text(c) -> Column:
     return F.coalesce(let(as_col(c).try_cast("double"), shown), F.lit(""))
 
 
-def numbers_supported(text, source, fields, min_len: int = D.DETAILED_MIN, max_len: int = D.TEXT_LIMIT,
+def numbers_supported(text, source, fields, min_len: int = D.DETAILED_MIN, max_len: int | None = None,
                       banned: str = D.BANNED, phone: str = D.PHONE_SHAPE, url: str = D.URL_SHAPE) -> Column:
     """Generated text may only hold numbers that the source or the record's fields hold."""
     shown = [number_text(f) for f in fields]
     variants = [v for s in shown for v in (F.replace(s, F.lit(","), F.lit(".")), F.replace(s, F.lit("."), F.lit(",")))]
     allowed = F.array_union(numbers_in(source), F.array(*variants))
+    long_enough = lambda n: (n >= min_len) if max_len is None else n.between(min_len, max_len)
     return let(clean_text(text), lambda value: (
-        F.length(value).between(min_len, max_len) & ~has(value, banned) & ~has(value, phone) & ~has(value, url)
+        long_enough(F.length(value)) & ~has(value, banned) & ~has(value, phone) & ~has(value, url)
         & (F.size(F.array_except(numbers_in(value), allowed)) == 0)))
 
 

@@ -74,21 +74,6 @@ def cross_source_duplicates(df: DataFrame, min_title: int = 20, min_phone: int =
     return marked.where(dup).select("id")
 
 
-def cross_source_pairs(df: DataFrame, min_title: int = 20, min_phone: int = 10) -> DataFrame:
-    """The self-join form of ``cross_source_duplicates`` (for checks on small data only)."""
-    rows = source_filter(df).where((F.col("status") == "active") & (F.length("title") > min_title)
-                                   & (F.length(digits("agent_phone")) >= min_phone))
-    side = lambda p: rows.select(*[F.col(c).alias(p + c) for c in ("id", "source", "title", "operation")],
-                                 F.coalesce("area", F.lit(0.0)).alias(p + "area"),
-                                 F.coalesce("district", F.lit("")).alias(p + "district"),
-                                 F.coalesce("price_uah", F.lit(0.0)).alias(p + "price"),
-                                 digits("agent_phone").alias(p + "phone"))
-    a, b = side("a_"), side("b_")
-    cond = [a[f"a_{c}"] == b[f"b_{c}"] for c in ("title", "area", "district", "price", "phone", "operation")]
-    cond += [a["a_id"] > b["b_id"], a["a_source"] != b["b_source"]]
-    return a.join(b, cond, "left_semi").select(F.col("a_id").alias("id"))
-
-
 def mark_cross_source(df: DataFrame, **skew) -> DataFrame:
     dup = cross_source_duplicates(df, **skew).select(F.col("id").alias("__dup"))
     out = df.join(dup, df["id"] == dup["__dup"], "left")

@@ -184,12 +184,11 @@ def strict_integer(c) -> Column:
 def normalize_payload(items: DataFrame, source: str = "feed", url_base: str = "") -> DataFrame:
     """Typed JSON items (see PAYLOAD_SCHEMA, plus operation) to feed records with errors and completeness."""
     photos = F.filter(F.transform(F.coalesce("photos", F.array().cast("array<struct<src:string,url:string>>")),
-                                  lambda p: F.substring(clean_text(F.coalesce(filled(p["src"]), p["url"])), 1, 2000)),
+                                  lambda p: clean_text(F.coalesce(filled(p["src"]), p["url"]))),
                       lambda u: u != "")
     some = lambda *cols: F.coalesce(*[filled(F.col(c)) for c in cols])
-    t = lambda c, n: F.substring(clean_text(c), 1, n)
     df = items.withColumns({
-        "__id": t("id", 200), "__price": strict_number("price"), "__cur": F.upper(clean_text("currency")), "__ph": photos,
+        "__id": clean_text("id"), "__price": strict_number("price"), "__cur": F.upper(clean_text("currency")), "__ph": photos,
         "__fl": strict_integer("floor"), "__ft": strict_integer(some("total_floors", "floors_total"))})
     bad = F.coalesce(F.col("__fl") > F.col("__ft"), F.lit(False))
     errors = F.filter(F.array(F.when(F.col("__id") == "", "missing external id"),
@@ -201,18 +200,18 @@ def normalize_payload(items: DataFrame, source: str = "feed", url_base: str = ""
         F.lit(source).alias("source"), "operation", F.col("__id").alias("external_id"),
         F.when(urls.contains("olx"), source + "_olx").when(urls.contains("rieltor"), source + "_rieltor").otherwise(
             source).alias("origin_source"),
-        F.concat(F.lit(url_base), "__id").alias("url"), t("title", 300).alias("title"),
-        t("description", D.TEXT_LIMIT).alias("description"),
+        F.concat(F.lit(url_base), "__id").alias("url"), clean_text("title").alias("title"),
+        clean_text("description").alias("description"),
         nested_name(some("property_type", "type", "category")).alias("property_type"),
-        t("price", 100).alias("source_price_raw"), F.col("__cur").alias("source_currency"),
+        clean_text("price").alias("source_price_raw"), F.col("__cur").alias("source_currency"),
         price("UAH").alias("price_uah"), price("USD").alias("price_usd"), price("EUR").alias("price_eur"),
         strict_integer("rooms").alias("rooms"), strict_number("area").alias("area"),
         F.when(~bad, F.col("__fl")).alias("floor"), F.when(~bad, F.col("__ft")).alias("floors_total"),
-        nested_name("district").alias("district"), nested_name("city").alias("city"), t("street", 300).alias("street"),
-        t("address", 500).alias("full_address"), strict_number(some("lat", "latitude")).alias("latitude"),
+        nested_name("district").alias("district"), nested_name("city").alias("city"), clean_text("street").alias("street"),
+        clean_text("address").alias("full_address"), strict_number(some("lat", "latitude")).alias("latitude"),
         strict_number(some("lng", "longitude")).alias("longitude"), F.col("__ph").alias("photos"),
-        first_photo("__ph").alias("photo_url"), t(some("contact_name", "owner_name"), 300).alias("contact_name"),
-        F.lit("").alias("contact_phone"), t("commission", 300).alias("commission"), errors.alias("validation_errors"))
+        first_photo("__ph").alias("photo_url"), clean_text(some("contact_name", "owner_name")).alias("contact_name"),
+        F.lit("").alias("contact_phone"), clean_text("commission").alias("commission"), errors.alias("validation_errors"))
     return out.withColumns({"is_valid": F.size("validation_errors") == 0, "data_completeness": completeness(out)})
 
 

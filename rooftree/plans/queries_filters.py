@@ -136,7 +136,7 @@ GRID_SQL = L + f"""SELECT {_safe('id', 12)} AS "ID", {_safe(SHOWN_ID, 40)} AS "E
 
 @query("display_projection", GRID_SQL)
 def _(t):
-    return display.display_projection(t.listings)
+    return display.display_projection(t.listings, display.listing_grid_spec(D.GRID_WIDTHS))
 
 
 LABEL = "CASE status WHEN 'active' THEN 'Актуальне' WHEN 'inactive' THEN 'Неактуальне' WHEN 'archived' THEN 'Архів' ELSE 'На перевірці' END"

@@ -257,13 +257,13 @@ def _(t):
     return t.spread("documents").select("doc_id", T.publishable_text("text", r"\b(?:private|secret|password)\w*|@", None).alias("clean"))
 
 
-@query("numbers_supported", r"""SELECT a.doc_id, len(list_filter(regexp_extract_all(a.text, '\d+(?:[.,]\d+)?'), lambda n: NOT list_contains(regexp_extract_all(b.html, '\d+(?:[.,]\d+)?'), n)
- AND n <> CAST(a.doc_id AS VARCHAR))) = 0 AND length(trim(regexp_replace(a.text, '[\s\p{Z}]+', ' ', 'g'))) >= 180 AS supported FROM documents a JOIN pages b ON b.page_id = a.doc_id""")
+@query("numbers_supported", r"""SELECT a.doc_id, len(list_filter(regexp_extract_all(a.text, '\d+(?:[.,]\d+)?'), lambda n: NOT list_contains(regexp_extract_all(COALESCE(b.html, ''), '\d+(?:[.,]\d+)?'), n)
+ AND n <> CAST(a.doc_id AS VARCHAR))) = 0 AND length(trim(regexp_replace(a.text, '[\s\p{Z}]+', ' ', 'g'))) >= 180 AS supported FROM documents a LEFT JOIN pages b ON b.page_id = a.doc_id""")
 def _(t):
     src = t.pages.select(F.col("page_id").alias("doc_id"), F.col("html").alias("source_text"))
-    rows = t.documents.join(src, "doc_id")
+    rows = t.documents.join(src, "doc_id", "left")  # a document without a page has no source but its own fields
     none = "(?!)"
-    return rows.select("doc_id", T.numbers_supported("text", "source_text", ["doc_id"], 180, 10_000_000, none, none, none).alias("supported"))
+    return rows.select("doc_id", T.numbers_supported("text", "source_text", ["doc_id"], 180, None, none, none, none).alias("supported"))
 
 
 @query("chunk_text")

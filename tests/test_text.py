@@ -251,3 +251,22 @@ def test_chunks_against_brute_force(spark):
     for n in (20, 900):
         for r in df.select("i", T.chunk_text("t", n).alias("r")).collect():
             assert r.r == plain_chunks(texts[r.i], n)
+
+
+def test_whole_texts_unless_a_cut_is_asked_for(spark):
+    text = "Світла квартира біля парку. " * 3_000
+    df = spark.createDataFrame([(text.strip(), "i" * 300, "Назва " * 200)], "d string, i string, t string")
+    r = df.select(T.redact_plain("d").alias("plain"), T.redact_text("d").alias("text"), T.publishable_text("d").alias("page"),
+                  T.redact_plain("d", limit=100).alias("head"), C.clean_title("t", "i", "Agency").alias("title"),
+                  display.safe_text("i").alias("cell"), display.safe_text("i", 12).alias("short")).first()
+    assert [len(r[c]) for c in ("plain", "text", "page", "head")] == [len(text.strip())] * 3 + [100]
+    assert len(r.title) == len(("Назва " * 200).strip()) + len(" · #") + 300 and (len(r.cell), len(r.short)) == (300, 12)
+
+
+def test_payload_fields_stay_whole(spark):
+    from rooftree.operators.normalize import PAYLOAD_SCHEMA, normalize_payload
+    item = {"id": "9" * 400, "title": "t" * 900, "description": "d" * 60_000, "price": "5", "currency": "usd", "street": "s" * 700,
+            "photos": [{"src": f"https://h/{i}/" + "p" * 2_500, "url": None} for i in range(40)], "operation": "rent"}
+    r = normalize_payload(spark.createDataFrame([item], PAYLOAD_SCHEMA + ", operation string")).first()
+    assert (r.external_id, r.title, r.description, r.street) == (item["id"], item["title"], item["description"], item["street"])
+    assert [p for p in r.photos] == [p["src"] for p in item["photos"]]
