@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rooftree.llm import bpe, classifier, exact_dedup, html_text, minhash, packing, preference, quality_rules, suffix_dedup, url_filter
+from rooftree.llm import bpe, classifier, exact_dedup, html_text, minhash, packing, preference, quality_rules, suffix_dedup, url_filter, word_pairs
+from rooftree.llm.common import words_of
 
 FOLDER = "/root/testdata/sf0.001"
 here = pytest.mark.skipif(not Path(FOLDER).exists(), reason="shared test tables not present")
@@ -163,6 +164,85 @@ def test_kneser_ney_sums_to_one(spark):
     assert np.allclose(np.exp(-model.surprise(3).astype(float)).reshape(-1, 64).sum(axis=1), 1, atol=1e-3)
 
 
+def _surprises_expected(table):
+    """Mean surprise of every text by plain counting; the symbol model and the sample of contexts are the operator's own."""
+    words_by, pairs, spell_counts = [], {}, Counter()
+    often = [k for k, _ in sorted(Counter(c or "" for _, _, c in table).items(), key=lambda x: (-x[1], x[0]))]
+    for _, text, lang in table:
+        cls = often.index(lang or "")
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        spell_counts.update((cls, int(g)) for g in quality_rules.trigrams(raw, np.array([0, len(raw)]))[0])
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        own = Counter(zip([None, *words], words))
+        pairs.setdefault(cls, Counter()).update(own)
+        words_by.append((cls, raw, words, own))
+    grams = sorted(spell_counts)
+    spelling = quality_rules.KneserNey(*np.array([(*g, spell_counts[g]) for g in grams]).reshape(-1, 3).T)
+
+    def hashes(words):
+        raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+        _, _, doc, found = words_of(raw, np.array([0, len(raw)]))
+        return found, doc
+
+    stats, cuts = {}, {}
+    for cls, counts in pairs.items():
+        sample = Counter()
+        for (before, word), n in counts.items():
+            total, kinds = stats.setdefault((cls, before), [0, Counter()])
+            stats[cls, before][0] += n
+            kinds[min(n, 3)] += 1
+            keys = word_pairs.pair_keys(*hashes([before, word] if before is not None else [word]), np.array([cls]))
+            context = word_pairs.contexts(keys[-1:]).astype(np.uint64)
+            if word_pairs.mix(context)[0] % np.uint64(word_pairs.SAMPLE) == 0:
+                sample[n] += 1
+        cuts[cls] = word_pairs.discounts(*(sample[k] for k in range(1, 5)))
+    out = []
+    for cls, raw, words, own in words_by:
+        costs = {}
+        code, _, position = quality_rules.trigrams(raw, np.array([0, len(raw)]))
+        for c, at in zip(code, position):
+            costs[int(at)] = float(spelling.surprise(cls)[c])
+        total, at = 0.0, 0
+        spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw.tobytes())]
+        first = {}
+        for k, (a, b) in enumerate(spans):
+            first.setdefault((words[k - 1] if k else None, words[k]), sum(costs.get(i, 0) for i in range(a, min(b + 1, len(raw)))))
+        for pair, o in own.items():
+            n, kinds = stats[cls, pair[0]]
+            d = cuts[cls]
+            free = sum(d[k] * kinds[k] for k in (1, 2, 3)) / n if n > o else 1
+            c = pairs[cls][pair] - o
+            p = max(c - d[min(c, 3)], 0) / max(n - o, 1) + free * np.exp(1 - np.exp2(np.rint(16 * np.log2(1 + first[pair])) / 16))  # the steps in which costs are sent
+            total -= o * np.log(max(p, 1e-300))
+        out.append(total / max(len(words), 1))
+    return out
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_word_pairs_against_plain_counts(spark, partitions):
+    """The same surprises for any number of shards, whether contexts count as frequent or not."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    table = [(i, " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(60)], k=rng.randint(0, 80))), rng.choice(["en", "de", None]))
+             for i in range(60)] + [(100, None, "en"), (101, "", "de"), (102, "alone", "fr")]
+    df = spark.createDataFrame(table, "doc_id long, text string, lang string").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = {r["doc_id"]: r["surprise"] for r in rows(quality_rules.report(df))}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = _surprises_expected(table)
+    off = [(i, got[i], w) for (i, _, _), w in zip(table, want) if abs(got[i] - w) > 0.01]
+    assert not off, off
+
+
+def test_squeezed_arrays_come_back():
+    for a in ([], [0], [255, 256], list(range(70_000)), [1 << 62, 3]):
+        back = word_pairs.unsqueeze(word_pairs.squeeze(np.array(a, np.int64), np.array([7])))
+        assert back[0].tolist() == a and back[1].tolist() == [7]
+
+
 def test_html(spark):
     page = ('<html><head><title>T</title><style>p{}</style></head><body><nav><a>menu</a></nav><div class="cookie notice">ok?</div><article><h1>Head &amp; more</h1>'
             '<p>One\n <b>two<br>three<p>four</p><div class="ad">buy</div><script>var a="</p>";</script></article><section id="comments"><article>me too</article>'
