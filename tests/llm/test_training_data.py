@@ -200,13 +200,15 @@ def _surprises_expected(table):
     for cls, raw, words, own in words_by:
         costs = {}
         code, _, position = quality_rules.trigrams(raw, np.array([0, len(raw)]))
-        for c, at in zip(code, position):
-            costs[int(at)] = float(spelling.surprise(cls)[c])
-        total, at = 0.0, 0
+        codes = dict(zip(position.tolist(), code.tolist()))
+        for at, c in codes.items():
+            costs[at] = float(spelling.surprise(cls)[c])
+        total = 0.0
         spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw.tobytes())]
         first = {}
         for k, (a, b) in enumerate(spans):
-            first.setdefault((words[k - 1] if k else None, words[k]), sum(costs.get(i, 0) for i in range(a, min(b + 1, len(raw)))))
+            first.setdefault((words[k - 1] if k else None, words[k]), sum(costs.get(i, 0) for i in range(a, b))
+                             + float(spelling.surprise(cls)[(codes[b - 1] & 0xFFF) << 6]))
         for pair, o in own.items():
             n, kinds = stats[cls, pair[0]]
             d = cuts[cls]
