@@ -168,13 +168,3 @@ def age_code(df: DataFrame, updated: str = "updated_at", key: str = "id") -> Col
 def code_id(code: str) -> Column:
     """Id part of an age code."""
     return F.pmod(F.col(code), F.expr(_STEP)).cast("bigint")
-
-
-def spread_out(df: DataFrame) -> DataFrame:
-    """Repartition input of fewer splits than cores, so that costly expressions use all of them.
-
-    A large table has more splits than that and is returned as it is: its scan keeps column pruning and filter
-    pushdown, and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -264,7 +264,7 @@ COPY_ROWS = "SELECT CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_partkey A
 SELECT action, count(*) AS n FROM (SELECT CASE WHEN n.id IS NULL THEN 'append' WHEN w.id IS NULL THEN 'stale' ELSE 'keep' END AS action FROM (SELECT * FROM n WHERE rn = 1) n FULL JOIN w USING (id)
  UNION ALL SELECT 'duplicate' FROM n WHERE rn > 1 UNION ALL SELECT 'orphan' FROM c WHERE id IS NULL) GROUP BY 1""")
 def _(t):
-    copy = t.spread("lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_partkey").cast("string")).alias("id"),
+    copy = t.read("lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_partkey").cast("string")).alias("id"),
                              F.expr("(((CAST(l_orderkey AS DECIMAL(12, 0)) * 10 + l_linenumber) * 100000000 + l_partkey) * 100000000 + l_suppkey) * 100000 + datediff(l_shipdate, DATE '1970-01-01')").alias("pos"), "l_quantity")
     out = RC.reconcile(t.customer.select(F.col("c_custkey").alias("id")), copy, "id", "pos")
     return out.groupBy("action").agg(F.count(F.lit(1)).alias("n"))

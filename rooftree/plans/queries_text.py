@@ -17,13 +17,13 @@ WS = r"'[\s\p{Z}]+'"
 
 @query("clean_text", f"SELECT doc_id, trim(regexp_replace(text, {WS}, ' ', 'g')) AS clean FROM documents")
 def _(t):
-    return t.spread("documents").select("doc_id", T.clean_text("text").alias("clean"))
+    return t.read("documents").select("doc_id", T.clean_text("text").alias("clean"))
 
 
 @query("extract_numbers", r"""SELECT doc_id, TRY_CAST(replace(n, ',', '.') AS DOUBLE) AS number, TRY_CAST(trunc(TRY_CAST(replace(n, ',', '.') AS DOUBLE)) AS BIGINT) AS whole
 FROM (SELECT doc_id, NULLIF(regexp_extract(replace(replace(text, chr(160), ''), ' ', ''), '\d+[.,]?\d*'), '') AS n FROM documents)""")
 def _(t):
-    return t.spread("documents").select("doc_id", T.extract_number("text").alias("number"), T.extract_int("text").alias("whole"))
+    return t.read("documents").select("doc_id", T.extract_number("text").alias("number"), T.extract_int("text").alias("whole"))
 
 
 PRICE_TEXT = "CASE o_custkey % 5 WHEN 0 THEN '$ ' WHEN 1 THEN 'EUR' WHEN 2 THEN '' ELSE '' END || CAST(o_orderkey AS STRING) || CASE o_custkey % 7 WHEN 0 THEN ' 500' WHEN 1 THEN ',50' WHEN 2 THEN '.000.000' ELSE '' END || CASE o_custkey % 3 WHEN 0 THEN ' грн/міс' ELSE '' END"
@@ -34,7 +34,7 @@ PRICE_TEXT = "CASE o_custkey % 5 WHEN 0 THEN '$ ' WHEN 1 THEN 'EUR' WHEN 2 THEN
 SELECT o_orderkey, CASE WHEN direct > 0 THEN direct ELSE CASE WHEN TRY_CAST(regexp_replace(raw, '\D', '', 'g') AS DOUBLE) > 0 THEN TRY_CAST(regexp_replace(raw, '\D', '', 'g') AS DOUBLE) END END AS amount,
  CASE WHEN contains(raw, '$') THEN 'USD' WHEN contains(raw, 'EUR') THEN 'EUR' WHEN contains(raw, 'грн') THEN 'UAH' ELSE '' END AS currency FROM v""")
 def _(t):
-    rows = t.spread("orders").selectExpr("o_orderkey", f"{PRICE_TEXT} AS raw")
+    rows = t.read("orders").selectExpr("o_orderkey", f"{PRICE_TEXT} AS raw")
     return rows.select("o_orderkey", M.parse_price("raw").alias("p")).select("o_orderkey", "p.amount", "p.currency")
 
 
@@ -51,7 +51,7 @@ PHONE_TEXT = "CASE o_custkey % 4 WHEN 0 THEN '067 ' WHEN 1 THEN '+38 (050) ' WHE
  CASE WHEN length(d) = 10 AND d LIKE '0%' THEN '+38' || d WHEN length(d) = 12 AND d LIKE '380%' THEN '+' || d ELSE d END AS digit_phone
 FROM (SELECT o_orderkey, {PHONE_TEXT} AS raw, regexp_replace({PHONE_TEXT}, '\D', '', 'g') AS d FROM orders)""")
 def _(t):
-    rows = t.spread("orders").selectExpr("o_orderkey", f"{PHONE_TEXT} AS raw")
+    rows = t.read("orders").selectExpr("o_orderkey", f"{PHONE_TEXT} AS raw")
     return rows.select("o_orderkey", T.normalize_phone("raw").alias("phone"), T.normalize_phone("raw", "blank").alias("feed_phone"),
                        T.normalize_phone("raw", "digits").alias("digit_phone"))
 
@@ -60,14 +60,14 @@ def _(t):
  list_transform(list_filter(regexp_extract_all(text, '\+?\d[\d\s()\-]{8,}', 0), lambda p: length(regexp_replace(p, '\D', '', 'g')) = 11), lambda p: trim(p)) AS x FROM documents)""")
 def _(t):
     found = T.extract_phones("text", D.PHONE_LOOSE, 11, 11)
-    return t.spread("documents").select("doc_id", F.array_join(found, "|").alias("raw_phones"))
+    return t.read("documents").select("doc_id", F.array_join(found, "|").alias("raw_phones"))
 
 
 @query("detect_tokens", """SELECT doc_id, CASE WHEN contains(x, 'nicht') THEN 'german' WHEN contains(x, ' les ') OR contains(x, ' des ') THEN 'french' WHEN contains(x, ' los ') THEN 'spanish'
  WHEN contains(x, ' the ') THEN 'english' ELSE 'unknown' END AS kind, CASE WHEN contains(x, 'license') OR contains(x, 'copyright') THEN TRUE END AS licensed FROM (SELECT doc_id, lower(text) AS x FROM documents)""")
 def _(t):
     kinds = [("german", ["nicht"]), ("french", [" les ", " des "]), ("spanish", [" los "]), ("english", [" the "])]
-    return t.spread("documents").select("doc_id", X.detect_by_tokens("text", kinds, "unknown").alias("kind"), X.flag("text", ["license", "copyright"]).alias("licensed"))
+    return t.read("documents").select("doc_id", X.detect_by_tokens("text", kinds, "unknown").alias("kind"), X.flag("text", ["license", "copyright"]).alias("licensed"))
 
 
 @query("normalize_district", L + """SELECT id, CASE WHEN d = '' THEN '' WHEN d IN ('District 1', 'District 2') THEN d WHEN d = 'District 3' THEN 'Third' WHEN contains(lower(d), 'ict 4') THEN 'ict 4'
@@ -114,7 +114,7 @@ FEE_TEXT = "CASE o_custkey % 8 WHEN 0 THEN 'Оренда без комісії'
  WHEN 2 THEN 'Комісія ' || (o_orderkey % 90 + 1) || '%' WHEN 3 THEN 'Комісія ' || (o_orderkey + 1) || ' грн' WHEN 4 THEN 'Комісія: умови уточнюються' WHEN 5 THEN 'Комісія 2,5%'
  WHEN 6 THEN 'Комісія ' || (o_orderkey + 1) || ' $' ELSE 'Не вказано' END AS commission FROM (SELECT o_orderkey, o_custkey % 8 AS k, o_orderkey % 120 AS p FROM orders)""")
 def _(t):
-    rows = t.spread("orders").selectExpr("o_orderkey", f"{FEE_TEXT} AS raw")
+    rows = t.read("orders").selectExpr("o_orderkey", f"{FEE_TEXT} AS raw")
     return rows.select("o_orderkey", X.normalize_commission(F.lit(""), "raw").alias("commission"))
 
 
@@ -185,7 +185,7 @@ OFFER = "CASE o_custkey % 4 WHEN 0 THEN CAST(10 + o_orderkey % 90 AS STRING) ||
  CASE k WHEN 0 THEN 10 + o_orderkey % 90 WHEN 1 THEN (500 + o_orderkey) / CAST(50 AS DOUBLE) WHEN 2 THEN 12 END AS rate, CASE k WHEN 0 THEN 'USD' WHEN 1 THEN 'UAH' WHEN 2 THEN 'USD' ELSE 'UNKNOWN' END AS rate_currency,
  CASE k WHEN 1 THEN 'month' ELSE 'unknown' END AS rate_period FROM (SELECT o_orderkey, o_custkey % 4 AS k FROM orders)""")
 def _(t):
-    rows = t.spread("orders").selectExpr("o_orderkey", f"{OFFER} AS raw")
+    rows = t.read("orders").selectExpr("o_orderkey", f"{OFFER} AS raw")
     p = M.parse_commercial_price("raw", F.lit("rent"), F.lit(50.0))
     return rows.select("o_orderkey", p.alias("p")).select("o_orderkey", "p.*")
 
@@ -193,7 +193,7 @@ def _(t):
 @query("listing_price", f"""SELECT o_orderkey, CASE k WHEN 0 THEN (10 + o_orderkey % 90) * CAST(60 AS DOUBLE) WHEN 1 THEN CASE WHEN o_orderkey = 0 THEN CAST(500 * 60 AS DOUBLE) ELSE 500 + o_orderkey END WHEN 2 THEN 1000 + o_orderkey END AS total,
  CASE k WHEN 0 THEN 'USD' WHEN 1 THEN 'UAH' WHEN 2 THEN 'EUR' ELSE 'UNKNOWN' END AS currency FROM (SELECT o_orderkey, o_custkey % 4 AS k FROM orders)""")
 def _(t):
-    rows = t.spread("orders").selectExpr("o_orderkey", f"{OFFER} AS raw")
+    rows = t.read("orders").selectExpr("o_orderkey", f"{OFFER} AS raw")
     p = M.price_from_listing("raw", F.lit("Офіс у центрі"), F.lit("без торгу"), F.lit("rent"), F.lit(60.0))
     return rows.select("o_orderkey", p.alias("p")).select("o_orderkey", "p.total", "p.currency")
 
@@ -205,7 +205,7 @@ AREA_TEXT = "CASE o_custkey % 4 WHEN 0 THEN 'Загальна площа: ' || C
  WHEN 1 THEN CASE WHEN o_orderkey % 900 + 0.5 >= 5 THEN CAST(o_orderkey % 900 + 0.5 AS DOUBLE) END WHEN 2 THEN 60 + o_orderkey % 50 END AS total,
  CASE WHEN k = 0 AND 1 + o_orderkey % 90 >= 5 THEN CAST(1 + o_orderkey % 90 AS DOUBLE) END AS usable FROM (SELECT o_orderkey, o_custkey % 4 AS k FROM orders)""")
 def _(t):
-    rows = t.spread("orders").selectExpr("o_orderkey", f"{AREA_TEXT} AS raw")
+    rows = t.read("orders").selectExpr("o_orderkey", f"{AREA_TEXT} AS raw")
     return rows.select("o_orderkey", X.extract_areas("raw").alias("a")).select("o_orderkey", "a.total", "a.usable")
 
 
@@ -217,7 +217,7 @@ SELECT doc_id, CASE WHEN length(d) < 40 THEN 0 WHEN contains(lower(d), 'broker')
  ELSE least(40 + CASE WHEN n >= 2 THEN 20 ELSE 0 END + CASE WHEN n >= 3 THEN 15 ELSE 0 END + CASE WHEN length(d) > 100 THEN 10 ELSE 0 END + CASE WHEN length(d) > 200 THEN 10 ELSE 0 END, 100) END AS score,
  CASE WHEN length(d) < 40 THEN 'too_short' WHEN contains(lower(d), 'broker') OR contains(lower(d), 'call now') THEN 'spam' WHEN regexp_matches(d, '[{{}}\[\]<>]') THEN 'technical_junk' ELSE 'ok' END AS reason FROM s""")
 def _(t):
-    return t.spread("documents").select("doc_id", C.score_description("text").alias("s")).select("doc_id", "s.score", "s.reason")
+    return t.read("documents").select("doc_id", C.score_description("text").alias("s")).select("doc_id", "s.score", "s.reason")
 
 
 @query("score_title", L + """, x AS (SELECT *, lower(trim(COALESCE(title, ''))) AS t FROM listings)
@@ -237,12 +237,12 @@ def _(t):
 def _(t):
     """Whole texts without phones, links or sentences that name contact data (lookbehind splitting: no SQL form)."""
     banned = r"\b(?:email|phone|password|private|secret)\w*|@"
-    return t.spread("documents").select("doc_id", T.redact_text("text", banned, (r"\b(?:call|mail)\w*\b[^.!?\n]*",), D.PHONE_LOOSE, limit=None).alias("clean"))
+    return t.read("documents").select("doc_id", T.redact_text("text", banned, (r"\b(?:call|mail)\w*\b[^.!?\n]*",), D.PHONE_LOOSE, limit=None).alias("clean"))
 
 
 @query("redact_phrases", rf"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '\+?\d[\d\s()\-]{{8,}}', '', 'g'), '(?i)(?:^|\b)(?:license|licensed)[^.!?\n]*', '', 'g'), {SP}, ' ', 'g')) AS clean FROM documents""")
 def _(t):
-    return t.spread("documents").select("doc_id", T.redact_phrases("text", r"\b(?:license|licensed)[^.!?\n]*", r"\+?\d[\d\s()\-]{8,}", None).alias("clean"))
+    return t.read("documents").select("doc_id", T.redact_phrases("text", r"\b(?:license|licensed)[^.!?\n]*", r"\+?\d[\d\s()\-]{8,}", None).alias("clean"))
 
 
 @query("strip_html", r"""SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&'), '<[^>]+>', ' ', 'g'), '[\s\p{Z}]+', ' ', 'g')) AS body FROM pages
@@ -254,7 +254,7 @@ def _(t):
 @query("publishable_text")
 def _(t):
     """Whole texts, sentence filter with lookbehind splitting (no SQL form)."""
-    return t.spread("documents").select("doc_id", T.publishable_text("text", r"\b(?:private|secret|password)\w*|@", None).alias("clean"))
+    return t.read("documents").select("doc_id", T.publishable_text("text", r"\b(?:private|secret|password)\w*|@", None).alias("clean"))
 
 
 @query("numbers_supported", r"""SELECT a.doc_id, len(list_filter(regexp_extract_all(a.text, '\d+(?:[.,]\d+)?'), lambda n: NOT list_contains(regexp_extract_all(COALESCE(b.html, ''), '\d+(?:[.,]\d+)?'), n)
@@ -269,7 +269,7 @@ def _(t):
 @query("chunk_text")
 def _(t):
     """Word-bounded chunks of whole texts (greedy packing: no SQL form)."""
-    return t.spread("documents").select("doc_id", F.posexplode(T.chunk_text("text", 900)).alias("pos", "chunk"))
+    return t.read("documents").select("doc_id", F.posexplode(T.chunk_text("text", 900)).alias("pos", "chunk"))
 
 
 @query("external_ids", r"""SELECT page_id, url, CASE WHEN regexp_matches(url, '/(\d+)') THEN 'page_' || regexp_extract(url, '/(\d+)', 1) ELSE 'web_' || left(sha256(url), 16) END AS external_id,

@@ -15,6 +15,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.shuffle.partitions", str(partitions))
              .config("spark.sql.adaptive.enabled", "true")
+             .config("spark.sql.files.openCostInBytes", "512k")  # small files of several row groups are split over the cores
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites cost more than the calls
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
