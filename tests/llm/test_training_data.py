@@ -374,3 +374,23 @@ def test_empty_tables(spark, empty):
                 exact_dedup.report(empty), packing.pack(empty), minhash.near_duplicates(empty), classifier.report(empty, labels),
                 preference.format_pairs(turns)):
         assert out.count() == 0
+
+
+def test_bands_reject_planted_junk(spark):
+    """Marks glued to the words leave the band above, one paragraph on many rows below; clean text stays, also in two copies."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefghiklmnoprstuvw", k=rng.randint(2, 9))) for _ in range(3_000)]
+    weights = [1 / (k + 3) for k in range(3_000)]
+    clean = [" ".join(rng.choices(vocabulary, weights, k=rng.randint(150, 250))) for _ in range(300)]
+    clean += clean[:30]
+    glued = [" ".join(w + rng.choice(["###", "$$$", "%%%", "&&&"]) for w in rng.choices(vocabulary, weights, k=200)) for _ in range(12)]
+    paragraph = " ".join(rng.choices(vocabulary, weights, k=100))
+    template = [f"{paragraph} {i}" for i in range(60)]
+    kinds = ["clean"] * len(clean) + ["glued"] * len(glued) + ["template"] * len(template)
+    table = [(i, t, "en") for i, t in enumerate([*clean, *glued, *template])]
+    got = {r["doc_id"]: r for r in rows(quality_rules.report(spark.createDataFrame(table, "doc_id long, text string, lang string")))}
+    assert not any(r["base_failed"] for r in got.values())
+    kept = Counter((kind, got[i]["kept"]) for i, kind in enumerate(kinds))
+    middle = np.median([r["surprise"] for r in got.values()])
+    assert kept == {("clean", True): len(clean), ("glued", False): len(glued), ("template", False): len(template)}, (kept, middle)
+    assert all((got[i]["surprise"] > middle) == (kind == "glued") for i, kind in enumerate(kinds) if kind != "clean")
