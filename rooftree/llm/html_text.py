@@ -1,9 +1,10 @@
 """Main text of web pages, with the templates of their sites removed.
 
-One pass over the markup gives the text blocks of the main part.  A page that marks its article is read inside that mark;
-elsewhere whole elements go by what they are (navigation, forms, adverts, ...).  What such rules cannot know is the site's
-own template: every container outside a marked article is hashed as a subtree, Spark counts the pages of a host that have
-it, and blocks inside subtrees that recur on many pages of the host are deleted.  Only block texts and hashes are shuffled.
+One pass over the markup gives the text blocks of the page; whole elements go by what they are (navigation, forms, adverts,
+...).  What such rules cannot know is the site's own template: every container of text is hashed as a subtree, inside a
+marked article as well, Spark counts the pages of a host that have it, and blocks inside subtrees that recur on many pages
+of the host are deleted.  Of what is left, a page that marks its article is read inside that mark: an article first, then a
+main part, then the whole page.  Only block texts and hashes are shuffled.
 """
 from __future__ import annotations
 
@@ -41,8 +42,8 @@ ENDS_P = BLOCKS - {"title", "caption", "td", "th", "tr", "tbody", "thead", "tfoo
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
-_NOISE = re.compile(r"<!--.*?-->|(?<=<)(/?[a-zA-Z][^\s/>]*)[^>]*", re.S)
-_MARKS = (re.compile(r"<article[\s>]", re.I), re.compile(r"<main[\s>]|<[a-z]+[^>]*\srole\s*=\s*[\"']?main\b", re.I))
+_MAIN_ROLE = re.compile(r"role\s*=\s*[\"']?main\b", re.I)
+ARTICLE, MAIN, PAGE = 1, 2, 4  # views of a page: inside an article, inside a main part, all of it
 
 
 def _unwanted(name: str, attributes: str, in_main: bool) -> bool:
@@ -56,50 +57,66 @@ def _unwanted(name: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
-def _is_mark(name: str, attributes: str, mark: int) -> bool:
-    return name == "article" if mark == 0 else name == "main" or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
+def _marks(name: str, attributes: str) -> int:
+    if name == "article":
+        return ARTICLE
+    return MAIN if name == "main" or (attributes and _MAIN_ROLE.search(attributes)) else 0
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """([(text, hashes of the containers around it)], hashes of all containers outside a marked article)."""
-    for mark in (0, 1):
-        if _MARKS[mark].search(page):
-            found, seen = _walk(page, mark)
-            if found:
-                return found, seen
-    return _walk(page, None)
-
-
-def _walk(page: str, mark: int | None):
-    out: list[tuple[list[str], list[int]]] = []
-    hashes: dict[int, int] = {}
-    stack: list[tuple[str, int, bool, int]] = []  # name, place, dropped, marked depth before
-    text: list[str] = []
-    dropped = marked = 0
+def blocks_of(page: str) -> list[tuple[str, int, list[int]]]:
+    """[(text, views that show it, hashes of the containers around it)]; an article may be a main part, too."""
+    out: list[tuple[str, int, list[int]]] = []  # with places of containers in the plain markup
+    spans: dict[int, tuple[int, int]] = {}
+    plain, length = [], 0  # the markup without attributes and comments, which is what is hashed
+    stack: list[tuple[str, int, int, tuple[int, int]]] = []  # name, place, views that drop it, open marks before
+    text: list[tuple[str, int]] = []
+    dropped = {ARTICLE: 0, MAIN: 0, PAGE: 0}
+    marked = (0, 0)
+    shown = PAGE
     at, size = 0, len(page)
 
-    def flush():
-        body = " ".join("".join(text).split())
+    def put(piece: str) -> None:
+        nonlocal length
+        plain.append(piece)
+        length += len(piece)
+
+    def look() -> None:
+        nonlocal shown
+        shown = ((ARTICLE if marked[0] and not dropped[ARTICLE] else 0) | (MAIN if marked[1] and not dropped[MAIN] else 0)
+                 | (PAGE if not dropped[PAGE] else 0))
+
+    def flush() -> None:
+        if not text:
+            return
+        bodies: dict[str, int] = {}
+        if len({views for _, views in text}) == 1:
+            bodies[" ".join("".join(t for t, _ in text).split())] = text[0][1]
+        else:
+            for view in (ARTICLE, MAIN, PAGE):
+                body = " ".join("".join(t for t, views in text if views & view).split())
+                bodies[body] = bodies.get(body, 0) | view
         text.clear()
-        if body:
-            out.append(([body], [s[1] for s in stack if s[0] in CONTAINERS] if mark is None else []))
+        places = [s[1] for s in stack if s[0] in CONTAINERS]
+        out.extend((body, views, places) for body, views in bodies.items() if body)
 
-    def close(index: int, end: int):
-        nonlocal dropped, marked
+    def close(index: int) -> None:
+        nonlocal marked
         while len(stack) > index:
-            name, place, gone, before = stack.pop()
-            if gone:
-                dropped -= 1
-            if name in CONTAINERS and not marked and place not in hashes:
-                hashes[place] = xxhash.xxh3_64_intdigest(_NOISE.sub(r"\1", page[place:end])) - (1 << 63)
-            marked = before
+            name, place, gone, marked = stack.pop()
+            for view in dropped:
+                dropped[view] -= bool(gone & view)
+            if name in CONTAINERS:
+                spans[place] = place, length
+        look()
 
     while at < size:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else size
-        if stop > at and not dropped and (mark is None or marked):
+        if stop > at:
             piece = page[at:stop]
-            text.append(html.unescape(piece) if "&" in piece else piece)
+            put(piece)
+            if shown:
+                text.append((html.unescape(piece) if "&" in piece else piece, shown))
         if m is None:
             break
         at = m.end()
@@ -108,21 +125,24 @@ def _walk(page: str, mark: int | None):
             continue
         attributes = (m[3] if m[2] else m[6]) or ""
         if m[1] or m[4]:  # an end tag
+            put(f"</{name}>")
             if name in BLOCKS:
                 flush()
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    close(i, at)
+                    close(i)
                     break
             continue
         if name in VOID:
-            if name == "br" or name == "hr":
-                text.append(" ")
+            put(f"<{name}>")
+            if (name == "br" or name == "hr") and shown:
+                text.append((" ", shown))
                 if name == "hr":
                     flush()
             continue
         if name in RAW:
             tail = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+            put(f"<{name}>" + page[at:tail.start() if tail else size])
             at = tail.end() if tail else size
             continue
         if name in BLOCKS:
@@ -130,25 +150,42 @@ def _walk(page: str, mark: int | None):
             ends = CLOSES.get(name, set()) | ({"p"} if name in ENDS_P else set())
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in ends:
-                    close(i, m.start())
+                    close(i)
                     break
                 if stack[i][0] in CONTAINERS or stack[i][0] in ("article", "main", "body"):
                     break
         if attributes.endswith("/") and name not in BLOCKS:
+            put(f"<{name}>")
             continue
-        gone = _unwanted(name, attributes, bool(marked))
-        stack.append((name, m.start(), gone, marked))
-        dropped += gone
-        if mark is not None and not dropped and _is_mark(name, attributes, mark):
-            marked += 1
+        gone = 0
+        if _unwanted(name, attributes, True):
+            gone = ARTICLE | MAIN | PAGE
+        elif name in SITE_HEADERS:
+            gone = (0 if marked[0] else ARTICLE) | (0 if marked[1] else MAIN) | PAGE
+        stack.append((name, length, gone, marked))
+        put(f"<{name}>")
+        for view in dropped:
+            dropped[view] += bool(gone & view)
+        mark = _marks(name, attributes)
+        if mark:
+            marked = (marked[0] + (mark == ARTICLE and not dropped[ARTICLE]),
+                      marked[1] + (not dropped[MAIN] and (mark == MAIN or bool(_MAIN_ROLE.search(attributes)))))
+        if gone or mark:
+            look()
     flush()
-    close(0, size)
-    return [(body[0], [hashes[p] for p in places if p in hashes]) for body, places in out], list(set(hashes.values()))
+    close(0)
+    whole = "".join(plain)
+    hashes: dict[int, int] = {}
+    for _, _, places in out:
+        for p in places:
+            if p not in hashes:
+                hashes[p] = xxhash.xxh3_64_intdigest(whole[slice(*spans[p])].encode("utf-8", "replace")) - (1 << 63)
+    return [(body, views, [hashes[p] for p in places]) for body, views, places in out]
 
 
-_PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("seen", pa.list_(pa.int64())),
-                   ("blocks", pa.list_(pa.struct([("text", pa.string()), ("up", pa.list_(pa.int64()))])))])
-_PAGE_DDL = "page_id long, url string, host string, seen array<long>, blocks array<struct<text: string, up: array<long>>>"
+_PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("whole", pa.int64()), ("seen", pa.list_(pa.int64())),
+                   ("blocks", pa.list_(pa.struct([("text", pa.string()), ("views", pa.int8()), ("up", pa.list_(pa.int64()))])))])
+_PAGE_DDL = "page_id long, url string, host string, whole long, seen array<long>, blocks array<struct<text: string, views: byte, up: array<long>>>"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,30 +194,32 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(lo, 500)
             parsed = [blocks_of(h or "") for h in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("page_id"), part.column("url"), part.column("host"), pa.array([p[1] for p in parsed], _PAGE.field("seen").type),
-                 pa.array([[{"text": t, "up": u} for t, u in p[0]] for p in parsed], _PAGE.field("blocks").type)], schema=_PAGE)
+                [part.column("page_id"), part.column("url"), part.column("host"),
+                 pa.array([xxhash.xxh3_64_intdigest("\n".join(t for t, _, _ in p)) - (1 << 63) for p in parsed], pa.int64()),
+                 pa.array([sorted({u for _, _, up in p for u in up}) for p in parsed], _PAGE.field("seen").type),
+                 pa.array([[{"text": t, "views": v, "up": u} for t, v, u in p] for p in parsed], _PAGE.field("blocks").type)], schema=_PAGE)
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
-    A subtree is a template if at least ``least_pages`` pages and the given share of the pages of its host have it; articles
-    that a page marks as such are never touched.  Null or empty markup gives an empty text; a page without host is on the
-    host ''; repeated rows stay and count as pages; null ids and urls are kept; an empty table gives an empty result; other
+    A subtree is a template if at least ``least_pages`` pages and the given share of the pages of its host have it; pages with
+    the same text count as one, so a page is no template of its own copies.  Null or empty markup gives an empty text; a page
+    without host is on the host ''; repeated rows stay; null ids and urls are kept; an empty table gives an empty result; other
     columns are ignored.
     """
     rows = split_url(pages.select("page_id", "url", "html")).select("page_id", "url", "host", "html")
     parsed = staged(rows.mapInArrow(_parse, _PAGE_DDL).withColumn("row", F.monotonically_increasing_id()))
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = parsed.select("host", F.explode("seen").alias("subtree")).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    templates = counts.where(F.col("n") >= least_pages).join(hosts, "host").where(F.col("n") >= share * F.col("pages")).select("host", "subtree")
-    ups = F.array_distinct(F.flatten("blocks.up"))
-    doubtful = parsed.where(F.size(ups) > 0)
-    hits = (doubtful.select("row", "host", F.explode(ups).alias("subtree")).join(templates, ["host", "subtree"], "left_semi")
+    hosts = parsed.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    counts = (parsed.select("host", "whole", F.explode("seen").alias("subtree")).distinct()
+              .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages))
+    templates = counts.join(hosts, "host").where(F.col("n") >= share * F.col("pages")).select("host", "subtree")
+    hits = (parsed.select("row", "host", F.explode("seen").alias("subtree")).join(templates, ["host", "subtree"], "left_semi")
             .groupBy("row").agg(F.collect_set("subtree").alias("gone")))  # bounded by the page's own subtrees
-    cleaned = doubtful.join(hits, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
+    cleaned = parsed.join(hits, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
     cleaned = cleaned.withColumn("blocks", F.filter("blocks", lambda b: ~F.arrays_overlap(b["up"], F.col("gone"))))
-    whole = parsed.where(F.size(ups) <= 0)
-    both = whole.select("page_id", "url", "blocks").unionByName(cleaned.select("page_id", "url", "blocks"))
+    shows = lambda view: F.exists("blocks", lambda b: b["views"].bitwiseAND(F.lit(view)) > 0)
+    view = F.when(shows(ARTICLE), ARTICLE).when(shows(MAIN), MAIN).otherwise(PAGE)
+    both = cleaned.withColumn("view", view).withColumn("blocks", F.filter("blocks", lambda b: b["views"].bitwiseAND(F.col("view")) > 0))
     text = F.array_join("blocks.text", "\n\n")
     return both.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))

@@ -394,3 +394,15 @@ def test_bands_reject_planted_junk(spark):
     middle = np.median([r["surprise"] for r in got.values()])
     assert kept == {("clean", True): len(clean), ("glued", False): len(glued), ("template", False): len(template)}, (kept, middle)
     assert all((got[i]["surprise"] > middle) == (kind == "glued") for i, kind in enumerate(kinds) if kind != "clean")
+
+
+def test_templates_inside_marks(spark):
+    """A box that recurs inside articles goes, their own paragraphs stay; teasers in an article do not hide the body outside it."""
+    box = '<body><div id="x"><article><h1>Head {0}</h1><p>Same opening.</p><div class="x{0}"><p>Site line</p></div><p>own {0}</p></article></div></body>'
+    teaser = '<body><article><div><p>Read more</p></div></article><section><p>body {0}</p></section></body>'
+    copy = "<body><article><div><p>one text in copies</p></div></article></body>"
+    data = [(i, f"http://a.net/{i}", box.format(i)) for i in range(6)] + [(10 + i, f"http://b.net/{i}", teaser.format(i)) for i in range(6)]
+    data += [(20 + i, f"http://c.net/{i}", copy) for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in rows(html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string")))}
+    want = {i: f"Head {i}\n\nSame opening.\n\nown {i}" for i in range(6)} | {10 + i: f"body {i}" for i in range(6)}
+    assert got == want | {20 + i: "one text in copies" for i in range(6)}
