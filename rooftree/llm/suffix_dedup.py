@@ -28,6 +28,7 @@ LENGTH = 400
 GRAM = 32
 HOT_RUNS = 2_000
 SUB = 32
+PIECE = 1 << 21  # windows of a long text that are anchored at once; positions must fit the low bits of the hashes
 _LOW = np.uint64((1 << 24) - 1)
 _A, _B = byte_codes(11), byte_codes(29)
 
@@ -68,6 +69,18 @@ def runs_of(text: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     return doc[start], start - offsets[doc[start]], count, spot - start, grams[spot].view(np.int64), whole.view(np.int64)
 
 
+def _runs_by_piece(text: np.ndarray, offsets: np.ndarray, length: int, piece: int = PIECE):
+    """``runs_of``; one long text is taken in pieces that overlap by a window less a byte, so each window is in one piece."""
+    if len(offsets) != 2 or len(text) <= piece:
+        return runs_of(text, offsets, length)
+    found = []
+    for lo in range(0, len(text) - length + 1, piece):
+        part = text[lo:lo + piece + length - 1]
+        doc, start, *rest = runs_of(part, np.array([0, len(part)]), length)
+        found.append((doc, start + lo, *rest))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else runs_of(text, offsets, length)
+
+
 _RUNS = pa.schema([("doc", pa.int64()), ("rk", pa.int64()), ("start", pa.int64()), ("windows", pa.int32()), ("off", pa.int32()),
                    ("anchor", pa.int64()), ("run", pa.int64())])
 
@@ -77,13 +90,13 @@ def _emit_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
         text, offsets = utf8(block, "text")
         for lo, hi in _slabs(offsets):
             part = offsets[lo:hi + 1] - offsets[lo]
-            doc, start, windows, off, anchor, run = runs_of(text[offsets[lo]:offsets[hi]], part, length)
+            doc, start, windows, off, anchor, run = _runs_by_piece(text[offsets[lo]:offsets[hi]], part, length)
             pick = pa.array(doc + lo)
             yield as_batch(_RUNS, doc=block.column("doc").take(pick), rk=block.column("rk").take(pick), start=start, windows=windows,
                            off=off, anchor=anchor, run=run)
 
 
-def _slabs(offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def _slabs(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
     lo, last = 0, len(offsets) - 1
     while lo < last:
         hi = min(max(int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1, lo + 1), last)

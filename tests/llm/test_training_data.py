@@ -8,6 +8,7 @@ from itertools import combinations
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +89,34 @@ def test_repeats_on_awkward_rows(spark, hot):
     assert got == brute_repeats([(i, t or "") for i, t in own], 60)
 
 
+def _anchors(text, found):
+    """{window start: (anchor, its place in the text)}."""
+    _, start, windows, off, anchor, _ = found
+    return {int(s + i): (int(h), int(s + o)) for s, n, o, h in zip(start, windows, off, anchor) for i in range(n)}
+
+
+def test_long_text_in_pieces():
+    raw = np.frombuffer(random.Random(9).randbytes(3_000), np.uint8)
+    whole = np.array([0, len(raw)])
+    want = _anchors(raw, suffix_dedup.runs_of(raw, whole, 60))
+    for piece in (1, 59, 500, 2_940, 2_941, 2_999):
+        assert _anchors(raw, suffix_dedup._runs_by_piece(raw, whole, 60, piece)) == want
+
+
+def test_repeats_behind_16_mib():
+    """Windows of a passage that stands twice behind the 24 bits of a position have the same anchors."""
+    passage = "".join(random.Random(10).choices("abcdefgh ", k=1_000))
+    text = np.random.RandomState(3).randint(97, 123, (1 << 24) + 5_000).astype(np.uint8).tobytes().decode() + passage + " between " + passage
+    batch = pa.record_batch({"doc": pa.array([1], pa.int64()), "rk": pa.array([1], pa.int64()), "text": [text]})
+    first, second = len(text) - 2_009, len(text) - 1_000
+    got = {}
+    for out in suffix_dedup._emit_runs(iter([batch]), 400):
+        for s, n, o, h in zip(*(out.column(c).to_numpy() for c in ("start", "windows", "off", "anchor"))):
+            if s + n > first:
+                got.update({int(s + i): (int(h), int(s + o - (s + i))) for i in range(n)})
+    assert all(got[first + i] == got[second + i] for i in range(601)) and max(got) == len(text) - 400
+
+
 @here
 def test_repeats_on_documents(small):
     got = sorted((tuple(r) for r in suffix_dedup.report(small).collect()), key=str)
