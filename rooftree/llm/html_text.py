@@ -21,7 +21,6 @@ from rooftree.llm.common import staged
 from rooftree.llm.url_filter import split_url
 
 LEAST_PAGES = 5
-SHARE = 0.1
 
 # Which elements are no main text, by name or by a word of their class, id or role.
 DROPPED = set("head script style noscript template nav aside form footer menu button select textarea iframe object svg canvas dialog audio "
@@ -200,20 +199,18 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([[{"text": t, "views": v, "up": u} for t, v, u in p] for p in parsed], _PAGE.field("blocks").type)], schema=_PAGE)
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
-    A subtree is a template if at least ``least_pages`` pages and the given share of the pages of its host have it; pages with
+    A subtree is a template if at least ``least_pages`` pages of its host have it, however many pages the host has; pages with
     the same text count as one, so a page is no template of its own copies.  Null or empty markup gives an empty text; a page
     without host is on the host ''; repeated rows stay; null ids and urls are kept; an empty table gives an empty result; other
     columns are ignored.
     """
     rows = split_url(pages.select("page_id", "url", "html")).select("page_id", "url", "host", "html")
     parsed = staged(rows.mapInArrow(_parse, _PAGE_DDL).withColumn("row", F.monotonically_increasing_id()))
-    hosts = parsed.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = (parsed.select("host", "whole", F.explode("seen").alias("subtree")).distinct()
-              .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages))
-    templates = counts.join(hosts, "host").where(F.col("n") >= share * F.col("pages")).select("host", "subtree")
+    templates = (parsed.select("host", "whole", F.explode("seen").alias("subtree")).distinct()
+                 .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages).select("host", "subtree"))
     hits = (parsed.select("row", "host", F.explode("seen").alias("subtree")).join(templates, ["host", "subtree"], "left_semi")
             .groupBy("row").agg(F.collect_set("subtree").alias("gone")))  # bounded by the page's own subtrees
     cleaned = parsed.join(hits, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))

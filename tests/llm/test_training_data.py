@@ -435,3 +435,12 @@ def test_templates_inside_marks(spark):
     got = {r["page_id"]: r["text"] for r in rows(html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string")))}
     want = {i: f"Head {i}\n\nSame opening.\n\nown {i}" for i in range(6)} | {10 + i: f"body {i}" for i in range(6)}
     assert got == want | {20 + i: "one text in copies" for i in range(6)}
+
+
+def test_template_of_a_part_of_a_host(spark):
+    """A section's template goes from a large host as it would from a host of its own."""
+    part = "<body><div><p>Section line</p></div><p>in the section {0}</p></body>"
+    rest = "<body><p>elsewhere {0}</p></body>"
+    data = [(i, f"http://big.net/{i}", (part if i < 6 else rest).format(i)) for i in range(200)]
+    got = {r["page_id"]: r["text"] for r in rows(html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string")))}
+    assert got == {i: f"in the section {i}" if i < 6 else f"elsewhere {i}" for i in range(200)}
