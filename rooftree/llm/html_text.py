@@ -4,7 +4,8 @@ One pass over the markup gives the text blocks of the page; whole elements go by
 ...).  What such rules cannot know is the site's own template: every container of text is hashed as a subtree, inside a
 marked article as well, Spark counts the pages of a host that have it, and blocks inside subtrees that recur on many pages
 of the host are deleted.  Of what is left, a page that marks its article is read inside that mark: an article first, then a
-main part, then the whole page.  Only block texts and hashes are shuffled.
+main part, then the whole page.  Pages are parsed twice, for hashes and for texts, so that no text is written in between; only
+block texts and hashes are shuffled, texts only if the list of templates by page is too large for a broadcast.
 """
 from __future__ import annotations
 
@@ -182,21 +183,33 @@ def blocks_of(page: str) -> list[tuple[str, int, list[int]]]:
     return [(body, views, [hashes[p] for p in places]) for body, views, places in out]
 
 
-_PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("whole", pa.int64()), ("seen", pa.list_(pa.int64())),
+_SEEN = pa.schema([("row", pa.int64()), ("host", pa.string()), ("whole", pa.int64()), ("seen", pa.list_(pa.int64()))])
+_SEEN_DDL = "row long, host string, whole long, seen array<long>"
+_PAGE = pa.schema([("row", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
                    ("blocks", pa.list_(pa.struct([("text", pa.string()), ("views", pa.int8()), ("up", pa.list_(pa.int64()))])))])
-_PAGE_DDL = "page_id long, url string, host string, whole long, seen array<long>, blocks array<struct<text: string, views: byte, up: array<long>>>"
+_PAGE_DDL = "row long, page_id long, url string, blocks array<struct<text: string, views: byte, up: array<long>>>"
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[tuple[str, int, list[int]]]]]]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 500):
             part = batch.slice(lo, 500)
-            parsed = [blocks_of(h or "") for h in part.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("page_id"), part.column("url"), part.column("host"),
-                 pa.array([xxhash.xxh3_64_intdigest("\n".join(t for t, _, _ in p)) - (1 << 63) for p in parsed], pa.int64()),
-                 pa.array([sorted({u for _, _, up in p for u in up}) for p in parsed], _PAGE.field("seen").type),
-                 pa.array([[{"text": t, "views": v, "up": u} for t, v, u in p] for p in parsed], _PAGE.field("blocks").type)], schema=_PAGE)
+            yield part, [blocks_of(h or "") for h in part.column("html").to_pylist()]
+
+
+def _containers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, parsed in _parsed(batches):
+        yield pa.RecordBatch.from_arrays(
+            [part.column("row"), part.column("host"),
+             pa.array([xxhash.xxh3_64_intdigest("\n".join(t for t, _, _ in p)) - (1 << 63) for p in parsed], pa.int64()),
+             pa.array([sorted({u for _, _, up in p for u in up}) for p in parsed], _SEEN.field("seen").type)], schema=_SEEN)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, parsed in _parsed(batches):
+        yield pa.RecordBatch.from_arrays(
+            [part.column("row"), part.column("page_id"), part.column("url"),
+             pa.array([[{"text": t, "views": v, "up": u} for t, v, u in p] for p in parsed], _PAGE.field("blocks").type)], schema=_PAGE)
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -207,13 +220,13 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     without host is on the host ''; repeated rows stay; null ids and urls are kept; an empty table gives an empty result; other
     columns are ignored.
     """
-    rows = split_url(pages.select("page_id", "url", "html")).select("page_id", "url", "host", "html")
-    parsed = staged(rows.mapInArrow(_parse, _PAGE_DDL).withColumn("row", F.monotonically_increasing_id()))
+    rows = split_url(pages.select("page_id", "url", "html")).select(F.xxhash64("page_id", "url", "html").alias("row"), "page_id", "url", "host", "html")
+    parsed = staged(rows.select("row", "host", "html").mapInArrow(_containers, _SEEN_DDL))
     templates = (parsed.select("host", "whole", F.explode("seen").alias("subtree")).distinct()
                  .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages).select("host", "subtree"))
-    hits = (parsed.select("row", "host", F.explode("seen").alias("subtree")).join(templates, ["host", "subtree"], "left_semi")
-            .groupBy("row").agg(F.collect_set("subtree").alias("gone")))  # bounded by the page's own subtrees
-    cleaned = parsed.join(hits, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
+    hits = staged(parsed.select("row", "host", F.explode("seen").alias("subtree")).join(templates, ["host", "subtree"], "left_semi")
+                  .groupBy("row").agg(F.collect_set("subtree").alias("gone")))  # bounded by the page's own subtrees
+    cleaned = rows.select("row", "page_id", "url", "html").mapInArrow(_blocks, _PAGE_DDL).join(hits, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
     cleaned = cleaned.withColumn("blocks", F.filter("blocks", lambda b: ~F.arrays_overlap(b["up"], F.col("gone"))))
     shows = lambda view: F.exists("blocks", lambda b: b["views"].bitwiseAND(F.lit(view)) > 0)
     view = F.when(shows(ARTICLE), ARTICLE).when(shows(MAIN), MAIN).otherwise(PAGE)
