@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rooftree.llm import bpe, classifier, exact_dedup, html_text, minhash, packing, preference, quality_rules, suffix_dedup, url_filter
+from rooftree.llm import (bpe, classifier, divergence, exact_dedup, hard_negatives, html_text, minhash, packing, preference, quality_rules,
+                          simhash, suffix_dedup, url_filter)
 from rooftree.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,18 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_minhash_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query("op11_hard_negatives", hard_negatives.SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, folder, "embeddings"))
+
+
+@query("op12_source_divergence", divergence.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
+@query("op13_simhash_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents"))
