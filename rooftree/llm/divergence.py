@@ -1,8 +1,8 @@
 """Source divergence audit with in-mapper stripes.
 
 Every partition folds whole documents into stripes: a term of a language with its document frequency and its count in each
-source.  A full table of stripes is spilled as rows and started anew; Spark sorts the rows by language and term, and one
-pass merges equal keys and drops the terms that too few documents have.  The merged stripes emit the divergences: for
+source.  A full table of stripes is spilled and started anew; the shuffle brings the stripes of a term together, packed by
+a hash of the term, and one pass merges equal keys and drops the terms that too few documents have.  The merged stripes emit the divergences: for
 every pair of sources partial sums, for every source its most over-used terms, both combined in the task first.
 
 All numbers are integers.  A source's share of a term is p = 1 + floor(SCALE * (count + 2) / (N + 2 * V)), so a source
@@ -15,10 +15,10 @@ import heapq
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +29,9 @@ SCALE = 1_000_000_000
 TOP = 10
 ENTRIES = 400_000  # stripe entries that a task holds before it spills
 HELD_BYTES = 32 << 20  # bytes of terms that it holds
-CELLS = 1 << 20  # sums of pairs that it holds
+CELLS = 1 << 20  # sums of pairs that it holds, and shares that it works on at once
 BLOCK_TERMS = 4_096
+BUCKETS = 4
 _PIECE = 1 << 20
 _FOLD = bytes(b if b >= 128 else (b | 32 if 65 <= b & 0xDF <= 90 else 32) for b in range(256))  # letters lower-cased, else a space
 
@@ -45,10 +46,17 @@ def _pieces(text: bytes) -> Iterator[list[bytes]]:
         at = stop
 
 
+_PACKED = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("names", pa.list_(pa.string())), ("terms", pa.binary()), ("docs", pa.binary()),
+                     ("entries", pa.binary()), ("sources", pa.binary()), ("counts", pa.binary())])
+_PACKED_DDL = "bucket int, lang string, names array<string>, terms binary, docs binary, entries binary, sources binary, counts binary"
 _STRIPES = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 _STRIPES_DDL = "lang string, term string, docs long, sources array<string>, counts array<long>"
 
 
+def _cuts(size: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+
+
 class _Stripes:
     """Document frequencies by language and counts by language and source; the empty term counts documents."""
 
@@ -64,97 +72,115 @@ class _Stripes:
         for terms in _pieces(text.translate(_FOLD)):
             counts.update(terms)
             seen.update(terms)
-        fresh = seen.difference(docs)
+        fresh = [t for t in seen if t not in docs]
         docs.update(seen)
         self.entries += len(fresh) + len(counts) - before
         self.bytes += sum(map(len, fresh))
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """All stripes by term; the fold starts anew."""
+    def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        """All stripes, packed by the bucket of their term; the fold starts anew."""
         for lang, docs in self.docs.items():
-            place = {t: i for i, t in enumerate(docs)}
-            sources = list(self.counts[lang])
-            held = [self.counts[lang][s] for s in sources]
+            names, terms = list(self.counts[lang]), list(docs)
+            held = [self.counts[lang][s] for s in names]
+            place = {t: i for i, t in enumerate(terms)}
             term = np.concatenate([np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in held])
             count = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in held])
-            order = np.argsort(term, kind="stable")
-            named = pa.array(sources, pa.string()).take(pa.array(np.repeat(np.arange(len(held)), [len(c) for c in held])[order]))
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(docs)))]).astype(np.int32))
-            out = pa.RecordBatch.from_arrays(
-                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(docs), np.int64))), pa.array(list(docs), pa.binary()).cast(pa.string()),
-                 pa.array(list(docs.values()), pa.int64()), pa.ListArray.from_arrays(ends, named), pa.ListArray.from_arrays(ends, pa.array(count[order]))],
-                schema=_STRIPES)
-            yield from (out.slice(i, 1 << 14) for i in range(0, out.num_rows, 1 << 14))
+            source = np.repeat(np.arange(len(held)), [len(c) for c in held]).astype(np.int32)
+            bucket = np.fromiter(map(crc32, terms), np.int64, len(terms)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            rank = np.empty(len(terms), np.int64)
+            rank[order] = np.arange(len(terms))
+            by_term = np.argsort(rank[term], kind="stable")
+            source, count = source[by_term], count[by_term]
+            entries = np.bincount(rank[term], minlength=len(terms)).astype(np.int32)
+            frequency = np.fromiter(docs.values(), np.int64, len(docs))[order]
+            used, first = np.unique(bucket[order], return_index=True)
+            ends, reach = np.append(first, len(terms)), _cuts(entries)
+            sorted_terms = [terms[i] for i in order.tolist()]
+            spans = list(zip(ends.tolist(), ends[1:].tolist()))
+            inner = [(int(reach[x]), int(reach[y])) for x, y in spans]
+            for i in range(0, len(used), 256):
+                part, within = spans[i:i + 256], inner[i:i + 256]
+                yield as_batch(_PACKED, bucket=used[i:i + 256], lang=[lang] * len(part), names=pa.array([names] * len(part), _PACKED.field("names").type),
+                               terms=[b" ".join(sorted_terms[x:y]) for x, y in part], docs=[frequency[x:y].tobytes() for x, y in part],
+                               entries=[entries[x:y].tobytes() for x, y in part], sources=[source[x:y].tobytes() for x, y in within],
+                               counts=[count[x:y].tobytes() for x, y in within])
         self.__init__()
 
 
-def _fold(batches: Iterator[pa.RecordBatch], entries: int) -> Iterator[pa.RecordBatch]:
+def _fold(batches: Iterator[pa.RecordBatch], entries: int, buckets: int) -> Iterator[pa.RecordBatch]:
     stripes = _Stripes()
     for block in blocks(batches, "text"):
         for lang, source, text in zip(*(block.column(c).to_pylist() for c in ("lang", "source", "text"))):
             stripes.add(lang or "", source or "", (text or "").encode())
         if stripes.entries >= entries or stripes.bytes >= HELD_BYTES:
-            yield from stripes.rows()
-    yield from stripes.rows()
-
-
-def _summed(rows: pa.Table) -> pa.Table:
-    """Rows in the order of (lang, term) with equal keys added up."""
-    lang, term = rows.column("lang").combine_chunks(), rows.column("term").combine_chunks()
-    fresh = np.ones(rows.num_rows, bool)
-    fresh[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
-    first = np.flatnonzero(fresh)
-    lists, counts = rows.column("sources").combine_chunks(), rows.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.cumsum(fresh) - 1, lists.value_lengths().to_numpy(zero_copy_only=False))
-    coded = lists.flatten().dictionary_encode()
-    names, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    entry, inverse = np.unique(owner * max(len(names), 1) + code, return_inverse=True)
+            yield from stripes.rows(buckets)
+    yield from stripes.rows(buckets)
+
+
+def _summed(rows: list[dict], least: int) -> Iterator[pa.RecordBatch]:
+    """The stripes of one bucket and language, equal terms added up; those in fewer than ``least`` documents go."""
+    terms = [t for r in rows for t in r["terms"].split(b" ")]
+    coded = pa.array(terms, pa.binary()).dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    docs = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(docs, code, np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows]))
+    kept = docs >= least
+    documents = coded.dictionary.index(pa.scalar(b"", pa.binary())).as_py()  # -1 if the empty term lies in another bucket
+    if documents >= 0:
+        kept[documents] = True
+    names: dict[str, int] = {}
+    source = np.concatenate([np.array([names.setdefault(n, len(names)) for n in r["names"]])[np.frombuffer(r["sources"], np.int32)] for r in rows])
+    owner = np.repeat(code, np.concatenate([np.frombuffer(r["entries"], np.int32) for r in rows]))
+    count = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows])
+    stay = kept[owner]
+    entry, inverse = np.unique(owner[stay] * len(names) + source[stay], return_inverse=True)
     total = np.zeros(len(entry), np.int64)
-    np.add.at(total, inverse, counts)
-    group = entry // max(len(names), 1)
-    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(group, minlength=len(first)))]).astype(np.int32))
-    docs = np.add.reduceat(rows.column("docs").to_numpy(), first)
-    pick = pa.array(first)
-    return pa.Table.from_arrays([lang.take(pick), term.take(pick), pa.array(docs), pa.ListArray.from_arrays(ends, names.take(pa.array(entry % max(len(names), 1)))),
-                                 pa.ListArray.from_arrays(ends, pa.array(total))], schema=_STRIPES)
+    np.add.at(total, inverse, count[stay])
+    which, size = np.unique(entry // len(names), return_counts=True)
+    ends = pa.array(_cuts(size).astype(np.int32))
+    lists = pa.ListArray.from_arrays(ends, pa.array(list(names), pa.string()).take(pa.array(entry % len(names)))), pa.ListArray.from_arrays(ends, pa.array(total))
+    out = pa.RecordBatch.from_arrays([pa.array([rows[0]["lang"]] * len(which), pa.string()), coded.dictionary.take(pa.array(which)).cast(pa.string()),
+                                      pa.array(docs[which]), *lists], schema=_STRIPES)
+    yield from (out.slice(i, 1 << 12) for i in range(0, out.num_rows, 1 << 12))
 
 
 def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (lang, term); the last key of a batch waits, as one stripe, for the next batch."""
-    held = None
-
-    def kept(rows: pa.Table) -> list[pa.RecordBatch]:
-        enough = pc.or_(pc.greater_equal(rows.column("docs"), least), pc.equal(rows.column("term"), ""))
-        return rows.filter(enough).to_batches()
-
+    """Rows come sorted by (bucket, lang)."""
+    held: list[dict] = []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch.cast(_STRIPES)])
-        rows = _summed(rows if held is None else pa.concat_tables([held, rows]))
-        yield from kept(rows.slice(0, rows.num_rows - 1))
-        held = rows.slice(rows.num_rows - 1).combine_chunks()
-    if held is not None:
-        yield from kept(held)
+        for row in batch.to_pylist():
+            if held and (row["bucket"], row["lang"]) != (held[0]["bucket"], held[0]["lang"]):
+                yield from _summed(held, least)
+                held = []
+            held.append(row)
+    if held:
+        yield from _summed(held, least)
 
 
 def stripes(docs: DataFrame, least: int = LEAST_DOCS, entries: int = ENTRIES) -> DataFrame:
     """Merged stripes (lang, term, docs, sources, counts) of the terms in ``least`` documents of a language or more.
 
-    The stripe of the empty term has the number of documents of each source.
+    The stripe of the empty term has the number of documents of each source.  Stripes travel packed by a hash of the term,
+    ``BUCKETS`` buckets for each shuffle partition, so what a task merges at once is a small part of its share.
     """
-    rows = docs.select("lang", "source", "text").mapInArrow(partial(_fold, entries=entries), _STRIPES_DDL)
-    rows = rows.repartition("lang", "term").sortWithinPartitions("lang", "term")
-    return rows.mapInArrow(partial(_merge, least=least), _STRIPES_DDL)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = docs.select("lang", "source", "text").mapInArrow(partial(_fold, entries=entries, buckets=BUCKETS * tasks), _PACKED_DDL)
+    packed = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket", "lang")
+    return packed.mapInArrow(partial(_merge, least=least), _STRIPES_DDL)
 
 
 # --- divergences ---------------------------------------------------------------------------------------------------------------
 
-def share(count: int, total: int, terms: int) -> int:
-    return 1 + SCALE * (count + 2) // (total + 2 * terms)
+def shares(count: np.ndarray, total: np.ndarray | int, terms: int) -> np.ndarray:
+    """1 + floor(SCALE * (count + 2) / (total + 2 * terms)), exact for any count."""
+    count, total = np.asarray(count), np.asarray(total)
+    if count.max(initial=0) >= 1 << 33:  # the product would not fit a long
+        count, total = count.astype(object), total.astype(object)
+    return (1 + SCALE * (count + 2) // (total + 2 * terms)).astype(np.int64)
 
 
-def divergence(p, q):
+def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
@@ -172,24 +198,41 @@ class _Sums:
 
     def take(self, lang: str, terms: list[str], sources: list[list[str]], counts: list[list[int]], names: list[str], totals: list[int], n_terms: int) -> None:
         place = {s: i for i, s in enumerate(names)}
-        whole = sum(totals)
-        absent = np.array([share(0, n, n_terms) for n in totals], np.int64)
-        base: dict[int, np.ndarray] = {}
-        for term, has, times in zip(terms, sources, counts):
-            at = [place[s] for s in has]
-            p = absent.copy()
-            p[at] = [share(c, totals[i], n_terms) for i, c in zip(at, times)]
-            q = share(sum(times), whole, n_terms)
-            lacks = np.ones(len(names), bool)
-            lacks[at] = False
-            for i in at:
-                if i not in base:
-                    base[i] = divergence(absent[i], absent)
-                change = divergence(p[i], p) - base[i]
-                self._row(self.pairs, lang, names, i)[:] += change
-                self._row(self.other, lang, names, i)[lacks] += change[lacks]  # the other side of the pair does not meet this term
-                if p[i] > q:
-                    self._offer((lang, names[i]), int(divergence(int(p[i]), q)), term)
+        step = max(1, CELLS // len(names))
+        ordered = sorted(range(len(terms)), key=lambda i: terms[i].encode())
+        for a in range(0, len(terms), step):
+            some = ordered[a:a + step]
+            size = [len(sources[i]) for i in some]
+            self._add(lang, [terms[i] for i in some], np.repeat(np.arange(len(some)), size), np.array([place[s] for i in some for s in sources[i]], np.int64),
+                      np.array([c for i in some for c in counts[i]], np.int64), names, np.array(totals, np.int64), n_terms)
+
+    def _add(self, lang: str, terms: list[str], row: np.ndarray, at: np.ndarray, count: np.ndarray, names: list[str], totals: np.ndarray, n_terms: int) -> None:
+        """Entries (row: term, at: source, count); ``terms`` are in order."""
+        absent = shares(np.zeros(len(names), np.int64), totals, n_terms)
+        p = np.tile(absent, (len(terms), 1))
+        own = p[row, at] = shares(count, totals[at], n_terms)
+        lacks = np.ones(p.shape, bool)
+        lacks[row, at] = False
+        whole = np.zeros(len(terms), np.int64)
+        np.add.at(whole, row, count)
+        q = shares(whole, int(totals.sum()), n_terms)[row]
+        order = np.argsort(at, kind="stable")
+        step = max(1, CELLS // len(names))
+        for i in range(0, len(order), step):
+            e = order[i:i + step]
+            change = divergence(own[e, None], p[row[e]]) - divergence(absent[at[e], None], absent[None, :])
+            first = np.flatnonzero(np.diff(at[e], prepend=-1))
+            one_sided = np.where(lacks[row[e]], change, 0)  # the other source of the pair does not meet this term
+            for s, both, single in zip(at[e][first], np.add.reduceat(change, first), np.add.reduceat(one_sided, first)):
+                self._row(self.pairs, lang, names, s)[:] += both
+                self._row(self.other, lang, names, s)[:] += single
+        over = np.flatnonzero(own > q)
+        value = divergence(own[over], q[over])
+        ranked = np.lexsort((row[over], -value, at[over]))
+        first = np.flatnonzero(np.diff(at[over][ranked], prepend=-1))
+        for lo, hi in zip(first, np.append(first[1:], len(ranked))):
+            for j in ranked[lo:min(hi, lo + self.top)]:
+                self._offer((lang, names[at[over[j]]]), int(value[j]), terms[row[over[j]]])
 
     def _row(self, held: dict, lang: str, names: list[str], i: int) -> np.ndarray:
         row = held.get((lang, names[i]))
