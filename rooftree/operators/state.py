@@ -1,7 +1,7 @@
 """Availability, absence, job and retry state as batch folds (the streaming forms are in rooftree.streaming)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rooftree import defaults as D
@@ -46,10 +46,11 @@ def absence_by_run(runs: DataFrame, sightings: DataFrame, threshold: int = 2, ke
                    scope: str = "operation") -> DataFrame:
     """Complete runs since a listing was last seen; only listings seen in a complete run are counted.
 
-    Runs are numbered once (there are few of them); a listing then needs only its last seen run number.
+    Runs are numbered once, day by day; a listing then needs only its last seen run number.
     """
     done = runs.where("complete").select(scope, "run_id", "started_at")
-    numbered = done.withColumn("run_no", F.row_number().over(Window.partitionBy(scope).orderBy("started_at", "run_id")))
+    day = F.floor(F.unix_timestamp("started_at") / F.lit(86_400))
+    numbered = ordinal(done, [scope], [F.col("started_at").asc(), F.col("run_id").asc()], day, "run_no")
     totals = numbered.groupBy(scope).agg(F.max("run_no").alias("total_runs"))
     seen = sightings.join(numbered.select(scope, "run_id", "run_no"), [scope, "run_id"], "inner")
     last = seen.groupBy(scope, key).agg(F.max("run_no").alias("last_run"))

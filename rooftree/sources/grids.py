@@ -1,9 +1,11 @@
 """String grids (spreadsheet exports): read with header aliases, conform, check the header, write with a manifest."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rooftree.sources.splits import read_numbered_grid
+
 
 def find_column(columns: list[str], aliases: list[str]) -> str | None:
     """First column whose trimmed lower-case name is one of the aliases, in alias order."""
@@ -13,15 +15,15 @@ def find_column(columns: list[str], aliases: list[str]) -> str | None:
     return next((by_name[a.lower()] for a in aliases if a.lower() in by_name), None)
 
 
-def read_grid(spark: SparkSession, path: str, aliases: dict[str, list[str]] | None = None,
-              line_breaks: bool = True) -> DataFrame:
+def read_grid(spark: SparkSession, path: str, aliases: dict[str, list[str]] | None = None, row_number: str | None = None) -> DataFrame:
     """CSV grid with a header row, all cells as text; aliased columns are renamed to their wanted names.
 
-    Cells with line breaks make a file one split; large grids without them are read with ``line_breaks=False``.
-
-    A position column of the file (if it has one) is data like any other; Spark does not invent file order.
+    With ``row_number`` every row carries its 1-based number in its sheet, and cells with line breaks do not keep a file from
+    being read in many splits; without it such a file is one split.
     """
-    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=line_breaks, escape='"')
+    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
+    if row_number is not None:
+        df = read_numbered_grid(spark, path, df.columns, row_number)
     return rename_aliases(df, aliases or {})
 
 
@@ -56,12 +58,23 @@ def with_snapshot(df: DataFrame, name: str = "snapshot") -> DataFrame:
     return df.withColumn(name, snapshot_json(df))
 
 
-def write_grid(df: DataFrame, path: str, tab: str = "tab") -> DataFrame:
-    """Write one CSV folder per tab; the returned manifest holds the row count per tab."""
-    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    text.write.mode("errorifexists").partitionBy(tab).csv(path, header=True, quoteAll=True, escape='"')
-    return manifest(df.sparkSession.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"'), tab)
+def write_grid(df: DataFrame, path: str, tab: str = "tab", tabs: list[str] | None = None) -> DataFrame:
+    """Write one CSV folder per tab; the returned manifest (tab, n_rows) holds the row count per tab.
 
-
-def manifest(df: DataFrame, tab: str = "tab") -> DataFrame:
-    return df.groupBy(tab).agg(F.count(F.lit(1)).alias("n_rows"))
+    The counts are observed while the rows are written, so nothing is read back.  Without ``tabs`` the names are taken from
+    the data first; with them the write is the only job, and rows of a tab that is not named are an error.
+    """
+    spark, text = df.sparkSession, df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    name = F.col(f"`{tab}`")
+    if tabs is None:
+        tabs = [r[0] for r in text.select(name).distinct().collect()]  # as many as the folders that the write makes
+    seen = Observation()
+    counts = [F.count_if(name.eqNullSafe(F.lit(t))).alias(f"tab_{i}") for i, t in enumerate(tabs)]
+    watched = text.observe(seen, F.count(F.lit(1)).alias("all"), *counts)
+    watched.write.mode("errorifexists").partitionBy(tab).csv(path, header=True, quoteAll=True, escape='"', emptyValue="", nullValue="",
+                                                                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    rows = seen.get
+    found = [(t, rows[f"tab_{i}"]) for i, t in enumerate(tabs) if rows[f"tab_{i}"]]
+    if sum(n for _, n in found) != rows["all"]:
+        raise ValueError(f"rows of other tabs than {tabs}: {rows['all'] - sum(n for _, n in found)}")
+    return spark.createDataFrame(found, f"`{tab}` string, n_rows long")
