@@ -288,9 +288,8 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, entries: int
     # a language's groups, one row a language: as many as the square root of the pairs that the result lists
     langs = totals.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", "total"))).alias("groups"))
     langs = staged(langs.join(terms, "lang", "left").withColumn("terms", F.coalesce("terms", F.lit(0).cast("long"))))
-    packed = (kept.withColumn("slot", F.pmod(F.xxhash64("term"), F.lit(1 << 30)))
-              .join(terms.withColumnRenamed("terms", "v"), "lang")
-              .groupBy("lang", (F.col("slot") % F.ceil(F.col("v") / block_terms)).alias("slot"))
+    slots = max(1, -(-kept.count() // block_terms))
+    packed = (kept.groupBy("lang", F.pmod(F.xxhash64("term"), F.lit(slots)).alias("slot"))
               .agg(F.collect_list(F.struct("term", "sources", "counts")).alias("block")))
     emitted = packed.join(langs, "lang").select("lang", "block", "groups", "terms").mapInArrow(
         partial(_emit, top=top, cells=cells), "lang string, source string, part string, item string, value long")
