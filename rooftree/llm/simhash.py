@@ -153,6 +153,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, distance: int = DISTA
     joined = components(links(classes.select("fp"), distance, n_blocks, bucket)).select(F.col("node").alias("fp"), "comp")
     joined = joined.join(classes, "fp")
     named = joined.join(joined.groupBy("comp").agg(F.min("least").alias("component")), "comp").select("fp", "component")
-    mapped = classes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
+    # staged, so the documents of one frequent fingerprint meet a side with a shuffle of its own and can be split
+    mapped = staged(classes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component")))
     return signed.join(mapped, "fp").select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                             F.nullif("component", F.lit(NO_ID)).alias("component_id"))
