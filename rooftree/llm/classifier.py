@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from rooftree.llm.common import _SPACE, blocks, byte_codes, mix, prefix_hash, range_hash, utf8, words_of
+from rooftree.llm.common import _SPACE, blocks, byte_codes, free_name, mix, prefix_hash, range_hash, utf8, words_of
 
 BITS = 18
 SAMPLE = 20_000
@@ -118,17 +118,17 @@ def _score_of(block: pa.RecordBatch, weights: np.ndarray, bits: int) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(dots, -30, 30)))
 
 
-def _score(batches: Iterator[pa.RecordBatch], model, bits: int) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model, bits: int, name: str) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches, "text"):
         scores = pa.array(_score_of(block, model.value, bits))
-        yield pa.RecordBatch.from_arrays([*block.columns, scores], names=[*block.schema.names, "__score"])
+        yield pa.RecordBatch.from_arrays([*block.columns, scores], names=[*block.schema.names, name])
 
 
-def scored(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
-    """The documents with one more column ``__score``."""
+def scored(docs: DataFrame, weights: np.ndarray, bits: int = BITS, name: str = "score") -> DataFrame:
+    """The documents with one more column ``name``."""
     model = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** bits numbers, whatever the input
-    schema = StructType([*docs.schema.fields, StructField("__score", DoubleType())])
-    return docs.mapInArrow(partial(_score, model=model, bits=bits), schema)
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.mapInArrow(partial(_score, model=model, bits=bits, name=name), schema)
 
 
 def report(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
@@ -138,10 +138,11 @@ def report(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     every score is 0.5; an empty table gives an empty result; other columns are never looked at.
     """
     rows = scored(docs.select("doc_id", "text"), fit(docs, labels))
-    return rows.select("doc_id", (fold() == 0).alias("held_out"), F.col("__score").alias("score"),
-                       F.when(F.col("__score") >= cut, 1).otherwise(0).alias("predicted"))
+    return rows.select("doc_id", (fold() == 0).alias("held_out"), "score",
+                       F.when(F.col("score") >= cut, 1).otherwise(0).alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """The documents that the classifier does not reject, all columns kept."""
-    return scored(docs, fit(docs, labels)).where(F.col("__score") >= cut).drop("__score")
+    name = free_name(docs, "score")
+    return scored(docs, fit(docs, labels), name=name).where(F.col(name) >= cut).drop(name)

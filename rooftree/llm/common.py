@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rooftree.session import staged
 
-__all__ = ["staged", "read", "row_key", "blocks", "utf8", "words_of", "mix", "as_batch", "concat_ranges"]
+__all__ = ["staged", "read", "row_key", "free_name", "blocks", "utf8", "words_of", "mix", "as_batch", "concat_ranges"]
 
 BLOCK_BYTES = 1 << 21
 LOWEST = -(1 << 63)
@@ -24,6 +24,14 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as keep it apart from the table's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """64-bit key of a row's content: rows of one id but different texts stay apart, repeated rows share it."""
     return F.xxhash64(F.col(doc_id), F.col(text))

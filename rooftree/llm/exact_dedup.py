@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rooftree.llm.common import staged
+from rooftree.llm.common import free_name, staged
 
 BUCKET_ROWS = 4_096
 MAX_DEPTH = 16  # at most 65,536 slots
@@ -77,9 +77,11 @@ def report(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 
 def keep_one(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The documents that stay, all columns kept; of repeated rows (one id and text) one stays."""
-    own = {"__id": F.coalesce("doc_id", F.lit(-(1 << 63))), "__sha": F.sha2(normalised().cast("binary"), 256)}
-    stays = report(docs, bucket_rows).where("kept").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), F.col("text_sha256").alias("__sha"))
-    return docs.withColumns(own).join(stays, ["__id", "__sha"], "left_semi").dropDuplicates(["__id", "__sha"]).select(*docs.columns)
+    key, sha = free_name(docs, "key"), free_name(docs, "sha")
+    id_ = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    stays = report(docs, bucket_rows).where("kept").select(id_.alias(key), F.col("text_sha256").alias(sha))
+    rows = docs.withColumns({key: id_, sha: F.sha2(normalised().cast("binary"), 256)})
+    return rows.join(stays, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*docs.columns)
 
 
 SQL = r"""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rooftree.llm.common import as_batch, blocks, mix, staged, utf8, words_of
+from rooftree.llm.common import as_batch, blocks, free_name, mix, staged, utf8, words_of
 
 SHINGLE = 4
 BANDS, ROWS = 32, 4
@@ -197,5 +197,6 @@ def _components_of(rows: DataFrame, classes: DataFrame, width: int, percent: int
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of near duplicates, all columns kept."""
-    stays = near_duplicates(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")).distinct()
-    return docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).join(stays, "__id", "left_semi").select(*docs.columns)
+    key, id_ = free_name(docs, "key"), F.coalesce("doc_id", F.lit(NO_ID))
+    stays = near_duplicates(docs).where("kept").select(id_.alias(key)).distinct()
+    return docs.withColumn(key, id_).join(stays, key, "left_semi").select(*docs.columns)
