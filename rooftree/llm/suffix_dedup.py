@@ -107,6 +107,8 @@ def _slabs(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]
 # --- suffix arrays -------------------------------------------------------------------------------------------------------------
 
 _SYMBOLS = 7  # nine bits each
+_SETTLE = 8  # rounds between two comparisons of whole groups
+_WIDE = np.concatenate([byte_codes(41), byte_codes(43)])  # a code for each of 257 symbols
 
 
 def _words(t: np.ndarray) -> np.ndarray:
@@ -120,53 +122,56 @@ def _words(t: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sort_directly(t: np.ndarray, which: np.ndarray, depth: int) -> np.ndarray:
-    """``which`` ordered by up to ``depth`` symbols of their suffixes: radix words, ties refined word by word."""
-    words = _words(t)
+def _sort_directly(t: np.ndarray, words: np.ndarray, which: np.ndarray, depth: int) -> np.ndarray:
+    """``which`` ordered by up to ``depth`` symbols of their suffixes: radix words, ties refined word by word.
+
+    A round touches only suffixes that are still tied, and sorts only groups in which the next words differ.  Before the
+    rounds begin, and again from time to time, groups that agree on all symbols up to ``depth`` are settled by one comparison.
+    """
     order = which[np.argsort(words[which], kind="stable")]
-    key = words[order]
-    group = np.zeros(len(order), np.int64)
-    group[1:] = np.cumsum(key[1:] != key[:-1])
+    last, prefix = len(t) - 1, prefix_hash(t, _WIDE)
+    stop = np.flatnonzero(t == 0)
+    stop = stop[np.searchsorted(stop, np.arange(len(t)))]  # each position's sentinel
+    alive, key, group = np.arange(len(order)), words[order], np.zeros(len(order), np.int64)
     done = _SYMBOLS
-    over = (key & np.uint64(511)) == 0  # the sentinel has been met
-    alive = np.arange(len(order))
-    while done < depth:
-        g = group[alive]
-        same = np.zeros(len(alive), bool)
-        if len(alive) > 1:
-            tie = g[1:] == g[:-1]
-            same[1:] |= tie
-            same[:-1] |= tie
-        alive = alive[same & ~over[alive]]
-        if not len(alive):
-            break
+    while True:
+        fresh = np.ones(len(alive), bool)
+        fresh[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+        tied = ~fresh | ~np.append(fresh[1:], True)
+        keep = tied & ((key & np.uint64(511)) != 0)  # a sentinel in the word: equal suffixes end there
+        group = np.cumsum(fresh)[keep]
+        alive = alive[keep]
+        if len(alive) and (done - _SYMBOLS) % (_SYMBOLS * _SETTLE) == 0:
+            item = order[alive]
+            whole = item + depth <= stop[item]
+            code = range_hash(prefix, item, np.minimum(item + depth, last))
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            equal = np.logical_and.reduceat(whole & (code == np.repeat(code[first], np.diff(np.append(first, len(item))))), first)
+            open_ = ~np.repeat(equal, np.diff(np.append(first, len(item))))
+            alive, group = alive[open_], group[open_]
+        if not len(alive) or done >= depth:
+            return order
         item = order[alive]
-        key = words[np.minimum(item + done, len(t) - 1)]
-        ranked = np.lexsort((key, group[alive]))
-        order[alive] = item[ranked]
-        key, g = key[ranked], group[alive]
-        step = np.zeros(len(alive), np.int64)
-        step[1:] = (g[1:] == g[:-1]) & (key[1:] != key[:-1])
-        fresh = np.cumsum(step)
-        first = np.ones(len(alive), bool)
-        first[1:] = g[1:] != g[:-1]
-        # within a group new numbers count up from the group's own; spacing by the length keeps groups apart
-        group = group * (len(alive) + 1)
-        group[alive] += fresh - np.repeat(fresh[first], np.diff(np.append(np.flatnonzero(first), len(alive))))
-        group = np.concatenate([[0], np.cumsum(group[1:] != group[:-1])])
-        over[alive] = (key & np.uint64(511)) == 0
+        key = words[np.minimum(item + done, last)]
+        differs = np.zeros(len(alive), bool)
+        differs[1:] = (group[1:] == group[:-1]) & (key[1:] != key[:-1])
+        if differs.any():
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            size = np.diff(np.append(first, len(alive)))
+            rows = np.flatnonzero(np.repeat(np.logical_or.reduceat(differs, first), size))
+            ranked = rows[np.lexsort((key[rows], group[rows]))]
+            order[alive[rows]], key[rows] = item[ranked], key[ranked]
         done += _SYMBOLS
-    return order
 
 
-def suffix_array(t: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def suffix_array(t: np.ndarray, depth: int = LENGTH, words: np.ndarray | None = None) -> np.ndarray:
     """Suffixes of ``t`` (uint16 symbols, each segment ended by the sentinel 0) ordered by their first ``depth`` symbols."""
     n = len(t)
     change = np.append(t[1:] != t[:-1], True)
     reach = np.minimum.accumulate(np.where(change, np.arange(n), n)[::-1])[::-1]  # last position of the run of equal symbols
     smaller = t[reach] < t[np.minimum(reach + 1, n - 1)]  # smaller than its successor: sorted directly
     smaller |= t == 0
-    direct = _sort_directly(t, np.flatnonzero(smaller & (t != 0)), depth)
+    direct = _sort_directly(t, _words(t) if words is None else words, np.flatnonzero(smaller & (t != 0)), depth)
     size = np.bincount(t, minlength=258)
     base = np.concatenate([[0], np.cumsum(size)])
     out = np.empty(n, np.int64)
@@ -204,18 +209,22 @@ def suffix_array(t: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     return out
 
 
-def common_prefix(t: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a[i] and b[i], at most ``limit``."""
-    found = np.zeros(len(a), np.int64)
-    open_ = np.arange(len(a))
-    last = len(t) - 1
-    for j in range(limit):
+def common_prefix(t: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int, words: np.ndarray | None = None) -> np.ndarray:
+    """Length of the common prefix of the suffixes at a[i] and b[i], at most ``limit``: whole words first, then symbols."""
+    words = _words(t) if words is None else words
+    found, open_, last = np.zeros(len(a), np.int64), np.arange(len(a)), len(t) - 1
+    for j in range(0, limit, _SYMBOLS):
+        x, y = words[np.minimum(a[open_] + j, last)], words[np.minimum(b[open_] + j, last)]
+        open_ = open_[(x == y) & ((x & np.uint64(511)) != 0)]
         if not len(open_):
             break
-        x, y = t[np.minimum(a[open_] + j, last)], t[np.minimum(b[open_] + j, last)]
+        found[open_] = j + _SYMBOLS
+    open_ = np.flatnonzero(found < limit)
+    for _ in range(_SYMBOLS):
+        x, y = t[np.minimum(a[open_] + found[open_], last)], t[np.minimum(b[open_] + found[open_], last)]
         open_ = open_[(x == y) & (x != 0)]
-        found[open_] = j + 1
-    return found
+        found[open_] += 1
+    return np.minimum(found, limit)
 
 
 def repeated_windows(segments: list[np.ndarray], windows: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -227,11 +236,12 @@ def repeated_windows(segments: list[np.ndarray], windows: np.ndarray, length: in
         t[p:p + len(s)] = s.astype(np.uint16) + 1
     valid = np.zeros(len(t), bool)
     valid[concat_ranges(start[:-1], windows)] = True
-    order = suffix_array(t, length)
+    words = _words(t)
+    order = suffix_array(t, length, words)
     order = order[valid[order]]
     hit = np.zeros(len(t), bool)
     if len(order) > 1:
-        equal = common_prefix(t, order[:-1], order[1:], length) >= length
+        equal = common_prefix(t, order[:-1], order[1:], length, words) >= length
         hit[order[:-1][equal]] = True
         hit[order[1:][equal]] = True
     return [hit[p:p + w] for p, w in zip(start[:-1], windows)]
@@ -334,12 +344,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RU
     """
     docs = _keyed(docs)
     runs = staged(docs.mapInArrow(partial(_emit_runs, length=length), _RUNS_DDL))
-    # one row per distinct run: how often it occurs and one place where it stands (the smallest)
-    place = F.min(F.struct("doc", "rk", "start", "windows", "off")).alias("place")
-    kinds = runs.groupBy("anchor", "run").agg(F.count(F.lit(1)).alias("n"), place)
-    anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("total")).where("total > 1")
-    kinds = staged(kinds.join(anchors, "anchor", "left_semi").select("anchor", "run", "n", "place.*"))
-    variety = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    # one row per distinct run: how often it occurs and one place where it stands; equal runs have equal bytes, so any place
+    # serves, and the staged result holds on to one (first values are a hash aggregate, the least struct would sort)
+    place = [F.first(c).alias(c) for c in ("doc", "rk", "start", "windows", "off")]
+    kinds = runs.groupBy("anchor", "run").agg(F.count(F.lit(1)).alias("n"), *place)
+    # staged, so a frequent anchor's rows meet a side with a shuffle of its own and can be split
+    anchors = staged(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("total")).where("total > 1").select("anchor"))
+    kinds = staged(kinds.join(anchors, "anchor", "left_semi"))
+    variety = staged(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     mixed = kinds.join(variety, "anchor").withColumn("hot", F.col("kinds") > hot_runs)
     wanted = (mixed.where("n = 1 OR hot OR kinds > 1").groupBy("doc", "rk")
               .agg(F.collect_list(F.struct("anchor", "run", "hot", "n", "off", "windows", "start")).alias("wanted")))
@@ -405,10 +417,10 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_spans(docs: DataFrame, length: int, hot_runs: int) -> DataFrame:
+    """(row, text, spans): the document as one struct, so its columns may have any names."""
     spans = repeated_spans(docs, length, hot_runs)
-    keyed = docs.withColumns({"__doc": F.coalesce("doc_id", F.lit(LOWEST)), "__rk": row_key()})
-    spans = spans.select(F.col("doc").alias("__doc"), F.col("rk").alias("__rk"), F.col("spans").alias("__spans"))
-    return keyed.join(spans, ["__doc", "__rk"], "left").drop("__doc", "__rk")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("doc"), row_key().alias("rk"), "text", F.struct(*docs.columns).alias("row"))
+    return keyed.join(spans, ["doc", "rk"], "left").select("row", "text", "spans")
 
 
 def report(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
@@ -417,19 +429,19 @@ def report(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> D
     Null text is empty; texts shorter than ``length`` keep everything; repeated rows are repeats of each other, so all of
     their bytes go; a null id is kept as null; an empty table gives an empty result; other columns are ignored.
     """
-    rows = _with_spans(docs.select("doc_id", "text"), length, hot_runs).select("doc_id", "text", F.col("__spans").alias("spans"))
+    rows = _with_spans(docs.select("doc_id", "text"), length, hot_runs).select("row.doc_id", "text", "spans")
     return rows.mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches, "text"):
-        spans = block.column("__spans").to_pylist()
         texts = [t if t is None or not s else _left(t.encode(), _merged(s)).decode(errors="ignore")
-                 for t, s in zip(block.column("text").to_pylist(), spans)]
-        names = [n for n in block.schema.names if n != "__spans"]
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else block.column(n) for n in names], names=names)
+                 for t, s in zip(block.column("text").to_pylist(), block.column("spans").to_pylist())]
+        row = block.column("row")
+        fields = [pa.array(texts, pa.string()) if f.name == "text" else c for f, c in zip(row.type, row.flatten())]
+        yield pa.RecordBatch.from_arrays(fields, names=[f.name for f in row.type])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """The documents without repeated bytes, all columns kept; a character cut in two by a removal goes whole."""
+    """The documents without repeated bytes, all columns kept, whatever their names; a character cut in two by a removal goes whole."""
     return _with_spans(docs, length, hot_runs).mapInArrow(_strip, docs.schema)
