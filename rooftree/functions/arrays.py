@@ -40,14 +40,14 @@ def first_photo(ranked) -> Column:
     return F.coalesce(F.try_element_at(as_col(ranked), F.lit(1)), F.lit(""))
 
 
-def prune_array(df: DataFrame, key: str, arr: str, gone: DataFrame, url: str = "url", **skew) -> DataFrame:
+def prune_array(df: DataFrame, key: str, arr: str, gone: DataFrame, url: str = "url") -> DataFrame:
     """Remove known-dead URLs from an array column; order and repeats of the rest stay.
 
     Only (key, position, url) is shuffled; a URL that many rows share is handled by ``attach_lookup``.
     """
     items = df.select(key, F.posexplode(arr).alias("pos", "item"))
     dead = gone.select(F.col(url).alias("item")).distinct().withColumn("dead", F.lit(True))
-    kept = attach_lookup(items, dead, "item", **skew).where(F.col("dead").isNull())
+    kept = attach_lookup(items, dead, "item").where(F.col("dead").isNull())
     rebuilt = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("__kept"))
     out = df.join(rebuilt.withColumnRenamed(key, "__key"), F.col(key) == F.col("__key"), "left")
     values = F.coalesce(F.transform("__kept", lambda s: s["item"]), EMPTY())

@@ -10,7 +10,7 @@ from rooftree.operators.quality import source_filter
 from rooftree.operators.skew import age_code, attach_group, attach_lookup, code_id, per_group_top
 
 
-def _mark_losers(df: DataFrame, eligible: Column, keys: dict[str, Column], note: str, **skew) -> DataFrame:
+def _mark_losers(df: DataFrame, eligible: Column, keys: dict[str, Column], note: str) -> DataFrame:
     """Rows that are not their group's newest become inactive with the keeper in the comment.
 
     Only keys that occur more than once are joined back; few duplicates therefore mean a broadcast at run time
@@ -19,7 +19,7 @@ def _mark_losers(df: DataFrame, eligible: Column, keys: dict[str, Column], note:
     keyed = df.withColumn("__ok", F.coalesce(eligible, F.lit(False))).withColumns(keys)
     keyed = keyed.withColumn("__code", age_code(df))
     groups = keyed.where("__ok").groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.max("__code").alias("newest"))
-    out = attach_lookup(keyed, groups.where(F.col("__rows") > 1), list(keys), "__rows", F.col("__ok"), **skew)
+    out = attach_lookup(keyed, groups.where(F.col("__rows") > 1), list(keys), F.col("__ok"))
     lost = F.col("__ok") & F.coalesce(F.col("newest") > F.col("__code"), F.lit(False))
     return out.withColumns({
         "status": F.when(lost, "inactive").otherwise(F.col("status")),
@@ -31,9 +31,9 @@ def _open(df: DataFrame) -> Column:
     return (F.col("status") == "active") & ~F.col("source").startswith(D.AGGREGATOR_PREFIX)
 
 
-def dedupe_by_url(df: DataFrame, **skew) -> DataFrame:
+def dedupe_by_url(df: DataFrame) -> DataFrame:
     filled = F.coalesce(F.trim("url") != "", F.lit(False))
-    return _mark_losers(df, _open(df) & filled, {"__url": F.col("url")}, D.COMMENT_DUPLICATE_URL, **skew)
+    return _mark_losers(df, _open(df) & filled, {"__url": F.col("url")}, D.COMMENT_DUPLICATE_URL)
 
 
 def listing_print() -> dict[str, Column]:
@@ -44,14 +44,14 @@ def listing_print() -> dict[str, Column]:
 
 
 def dedupe_by_fingerprint(df: DataFrame, keys: dict[str, Column] | None = None, min_title: int = 30,
-                          min_phone: int = 10, **skew) -> DataFrame:
+                          min_phone: int = 10) -> DataFrame:
     """Same advert under another URL: equal operation, title, area, price and phone, all of them present."""
     guard = ((F.length(F.trim("title")) >= min_title) & (F.coalesce(F.col("area"), F.lit(0)) > 0)
              & (F.coalesce(F.col("price_uah"), F.lit(0)) > 0) & (F.length(digits("agent_phone")) >= min_phone))
-    return _mark_losers(df, _open(df) & guard, keys or listing_print(), D.COMMENT_DUPLICATE_PRINT, **skew)
+    return _mark_losers(df, _open(df) & guard, keys or listing_print(), D.COMMENT_DUPLICATE_PRINT)
 
 
-def cross_source_duplicates(df: DataFrame, min_title: int = 20, min_phone: int = 10, **skew) -> DataFrame:
+def cross_source_duplicates(df: DataFrame, min_title: int = 20, min_phone: int = 10) -> DataFrame:
     """Ids of rows for which a smaller id of *another* source has the same advert.
 
     Linear form of the self-join: per key only the smallest id and the smallest id of a second source
@@ -69,13 +69,13 @@ def cross_source_duplicates(df: DataFrame, min_title: int = 20, min_phone: int =
     firsts = two.groupBy(*keys).agg(
         F.max(F.when(F.col("r") == 1, F.col("source"))).alias("first_source"),
         F.max(F.when(F.col("r") == 2, F.col("m"))).alias("second_id")).where(F.col("second_id").isNotNull())
-    marked = attach_lookup(rows, firsts, list(keys), **skew).where(F.col("first_source").isNotNull())
+    marked = attach_lookup(rows, firsts, list(keys)).where(F.col("first_source").isNotNull())
     dup = (F.col("source") != F.col("first_source")) | (F.col("id") > F.col("second_id"))
     return marked.where(dup).select("id")
 
 
-def mark_cross_source(df: DataFrame, **skew) -> DataFrame:
-    dup = cross_source_duplicates(df, **skew).select(F.col("id").alias("__dup"))
+def mark_cross_source(df: DataFrame) -> DataFrame:
+    dup = cross_source_duplicates(df).select(F.col("id").alias("__dup"))
     out = df.join(dup, df["id"] == dup["__dup"], "left")
     hit = F.col("__dup").isNotNull()
     return out.withColumns({"status": F.when(hit, "quarantine").otherwise(F.col("status")),
@@ -83,8 +83,8 @@ def mark_cross_source(df: DataFrame, **skew) -> DataFrame:
                            ).drop("__dup")
 
 
-def first_occurrence(df: DataFrame, key: str | list[str], pos: str, **skew) -> DataFrame:
+def first_occurrence(df: DataFrame, key: str | list[str], pos: str) -> DataFrame:
     """Add ``is_first``: the row with the smallest position of its key; the others are repeats."""
     keys = [key] if isinstance(key, str) else key
-    out = attach_group(df, keys, {"__first": F.min(pos)}, **skew)
+    out = attach_group(df, keys, {"__first": F.min(pos)})
     return out.withColumn("is_first", F.col(pos) == F.col("__first")).drop("__first")

@@ -56,11 +56,11 @@ def exists_filter(df: DataFrame, arr: str, pred) -> DataFrame:
     return df.where(F.exists(F.coalesce(F.col(arr), F.array().cast("array<string>")), pred))
 
 
-def not_exists_filter(df: DataFrame, arr: str, pred, other: DataFrame, on: str, key: str = "id", **skew) -> DataFrame:
+def not_exists_filter(df: DataFrame, arr: str, pred, other: DataFrame, on: str, key: str = "id") -> DataFrame:
     """Rows without an element that satisfies ``pred`` and is missing from ``other``."""
     items = df.select(key, F.explode(F.array_distinct(F.filter(arr, pred))).alias(on))
     found = other.select(on).distinct().withColumn("__found", F.lit(True))
-    gaps = attach_lookup(items, found, on, **skew).where(F.col("__found").isNull()).select(key).distinct()
+    gaps = attach_lookup(items, found, on).where(F.col("__found").isNull()).select(key).distinct()
     return df.join(gaps, key, "left_anti")
 
 
@@ -74,8 +74,7 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     return child.where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
 
 
-def attach_notes(df: DataFrame, notes: DataFrame, catalog: Column | str = "catalog", key: str = "id",
-                 **skew) -> DataFrame:
+def attach_notes(df: DataFrame, notes: DataFrame, catalog: Column | str = "catalog", key: str = "id") -> DataFrame:
     """A non-empty human note replaces the comment of its row."""
     keyed = df.withColumns({"__cat": as_col(catalog), "__id": F.col(key).cast("string")})
     notes = notes.where(~is_blank("note")).select(F.col("catalog").alias("__cat"),
@@ -104,13 +103,13 @@ def plan_import(catalogs: DataFrame, phones: DataFrame, key: str = "external_id"
 
 
 def resolve_media(df: DataFrame, archive: DataFrame, base: str, on_missing: str = "hold", key: str = "id",
-                  arr: str = "photos", **skew) -> DataFrame:
+                  arr: str = "photos") -> DataFrame:
     """Photos mapped to stored copies in order; a row with a missing copy is held, or falls back to the source."""
     items = df.select(key, F.posexplode(https_photos(arr)).alias("pos", "url"))
     items = items.withColumn("source_sha256", F.sha2("url", 256))
     stored = archive.where((F.col("status") == "archived") & ~is_blank("storage_key"))
     stored = stored.select("source_sha256", "storage_key")
-    hit = attach_lookup(items, stored, "source_sha256", **skew)
+    hit = attach_lookup(items, stored, "source_sha256")
     durable = F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace("storage_key", "^/+", ""))
     shown = durable if on_missing == "hold" else F.coalesce(durable, F.col("url"))
     rebuilt = hit.groupBy(key).agg(

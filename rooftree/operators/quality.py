@@ -142,13 +142,13 @@ LISTING_CONSTRAINTS = Constraints(
     unique=["source", "external_id"])
 
 
-def validate(df: DataFrame, rules: Constraints = LISTING_CONSTRAINTS, **skew) -> DataFrame:
+def validate(df: DataFrame, rules: Constraints = LISTING_CONSTRAINTS) -> DataFrame:
     """Add ``constraint_errors``: ordered names of violated constraints (empty array when valid)."""
     errors = [F.when(F.col(c).isNull(), f"null:{c}") for c in rules.not_null]
     errors += [F.when(~F.col(c).isin(*values), f"enum:{c}") for c, values in rules.one_of.items()]
     errors += [F.when(~F.expr(cond), f"check:{name}") for name, cond in rules.checks.items()]
     if rules.unique:
-        df = attach_group(df, rules.unique, {"__copies": F.count(F.lit(1))}, **skew)
+        df = attach_group(df, rules.unique, {"__copies": F.count(F.lit(1))})
         errors.append(F.when(F.col("__copies") > 1, "unique:" + "+".join(rules.unique)))
     out = df.withColumn("constraint_errors", F.filter(F.array(*errors), lambda e: e.isNotNull()))
     return out.drop("__copies")

@@ -11,7 +11,7 @@ from rooftree.operators.dedupe import first_occurrence
 from rooftree.operators.skew import per_group_top
 
 
-def reconcile(expected: DataFrame, actual: DataFrame, key: str, pos: str, **skew) -> DataFrame:
+def reconcile(expected: DataFrame, actual: DataFrame, key: str, pos: str) -> DataFrame:
     """(key, pos, action) with action keep / append / stale / duplicate / orphan.
 
     Rows without an id never reach a join or a key group, so a copy full of blank ids costs one scan.
@@ -21,7 +21,7 @@ def reconcile(expected: DataFrame, actual: DataFrame, key: str, pos: str, **skew
     named = actual.where(~is_blank(key)).select(F.trim(F.col(key).cast("string")).alias(key), pos)
     orphan = actual.where(is_blank(key) & anything).select(F.lit(None).cast("string").alias(key), pos,
                                                            F.lit("orphan").alias("action"))
-    marked = first_occurrence(named, key, pos, **skew)
+    marked = first_occurrence(named, key, pos)
     repeats = marked.where(~F.col("is_first")).select(key, pos, F.lit("duplicate").alias("action"))
     want = expected.select(F.trim(F.col(key).cast("string")).alias(key)).distinct().withColumn("__want", F.lit(1))
     firsts = marked.where("is_first").select(key, pos)
@@ -45,12 +45,8 @@ def diff_rows(expected: DataFrame, actual: DataFrame, key: str, ignore=()) -> Da
     return _pairs(expected, actual, key, "left").select(F.col("k").alias(key), action.alias("action"))
 
 
-def mismatch_report(expected: DataFrame, actual: DataFrame, key: str, ignore=(), k: int = 10,
-                    samples: int = 100) -> DataFrame:
-    """(kind, field, n, sample): cell mismatches per field, missing and stale ids; samples are the smallest ids.
-
-    Sample ids come from a pre-limited rank per field, so a field that differs everywhere is never collected.
-    """
+def mismatch_rows(expected: DataFrame, actual: DataFrame, key: str, ignore=()) -> DataFrame:
+    """(kind, field, k): every id with a different cell, one row for each such field, and every missing or stale id."""
     watch = [c for c in expected.columns if c != key and c not in ignore]
     both = _pairs(expected, actual, key, "full_outer")
     found, want = F.col("a").isNotNull(), F.col("e").isNotNull()
@@ -59,9 +55,17 @@ def mismatch_report(expected: DataFrame, actual: DataFrame, key: str, ignore=(),
     absent = F.when(want & ~found, F.struct(F.lit("missing").alias("kind"), F.lit("").alias("field")))
     stale = F.when(found & ~want, F.struct(F.lit("stale").alias("kind"), F.lit("").alias("field")))
     issues = F.filter(F.array(*[cell(c) for c in watch], absent, stale), lambda s: s.isNotNull())
-    long = both.select("k", F.explode(issues).alias("i")).select("i.kind", "i.field", F.col("k").cast("string").alias("k"))
-    counts = long.groupBy("kind", "field").agg(F.count(F.lit(1)).alias("n"))
-    top = per_group_top(long, ["kind", "field"], [F.col("k").asc()], max(k, samples), "r")
+    return both.select("k", F.explode(issues).alias("i")).select("i.kind", "i.field", F.col("k").cast("string").alias("k"))
+
+
+def mismatch_report(rows: DataFrame, k: int = 10, samples: int = 100) -> DataFrame:
+    """(kind, field, n, sample) of ``mismatch_rows``: whole counts, and the smallest ids as a sample; the rows have all ids.
+
+    Sample ids come from a pre-limited rank per field, so a field that differs everywhere is never collected.  Rows that are
+    staged first are found once and not twice.
+    """
+    counts = rows.groupBy("kind", "field").agg(F.count(F.lit(1)).alias("n"))
+    top = per_group_top(rows, ["kind", "field"], [F.col("k").asc()], max(k, samples), "r")
     top = top.where((F.col("kind") != "mismatch") | (F.col("r") <= k))
     picks = top.groupBy("kind", "field").agg(F.array_sort(F.collect_list("k")).alias("sample"))
     return counts.join(picks, ["kind", "field"], "left")

@@ -74,13 +74,13 @@ def chunk(df: DataFrame, n: int, pos: str, by: list[str] | None = None, width: i
     return out.withColumn("chunk_no", F.floor((F.col("__rn") - 1) / F.lit(n)).cast("bigint")).drop("__rn")
 
 
-def throttle_cut(log: DataFrame, scope: list[str], pos: str, k: int = 3, code: int = 429, width: int = SLICE,
-                 **skew) -> DataFrame:
+def throttle_cut(log: DataFrame, scope: list[str], pos: str, k: int = 3, code: int = 429, width: int = SLICE) -> DataFrame:
     """Per scope, everything after ``k`` throttled outcomes in a row is deferred."""
-    ranked = ordinal(log, scope, [F.col(pos).asc()], F.floor(F.col(pos) / F.lit(width)), "rn")
-    cuts = first_run(ranked, scope, F.col("http_status") == code, k, "rn", width)
-    out = attach_lookup(ranked, cuts, scope, **skew)
-    return out.withColumn("deferred", F.coalesce(F.col("rn") > F.col("run_pos"), F.lit(False))).drop("run_pos")
+    along = F.floor(F.col(pos) / F.lit(width))
+    ranked = ordinal(log, scope, [F.col(pos).asc()], along, "rn")
+    cuts = first_run(log, scope, F.col(pos).cast("bigint"), F.col("http_status") == code, k, along).drop("run_value")
+    out = attach_lookup(ranked, cuts, scope)
+    return out.withColumn("deferred", F.coalesce(F.col(pos) > F.col("run_code"), F.lit(False))).drop("run_code")
 
 
 def empty_rows(df: DataFrame, pos: str) -> DataFrame:

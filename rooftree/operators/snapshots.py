@@ -15,6 +15,7 @@ from rooftree import defaults as D
 from rooftree.functions.text import blank_to_null, extract_phones, is_blank, some
 from rooftree.operators.lookups import not_archived
 from rooftree.operators.quality import needs_copy
+from rooftree.operators.skew import attach_lookup
 
 KEY = ("source", "external_id")
 
@@ -37,7 +38,8 @@ def _orderable(kind) -> bool:
 def fold_repeats(incoming: DataFrame, keys, policy: dict, default: str, order: list[str] | None) -> DataFrame:
     """One incoming row per key, as merging row after row in ``order`` would leave it; ``__n`` counts the rows.
 
-    Without ``order`` the rows of a key follow each other by all their values, which is deterministic.
+    Rows whose key occurs once stay as they are; only the others are folded, map-side combined.  Without ``order`` the rows of
+    a key follow each other by all their values, which is deterministic.
     """
     rest = [f for f in incoming.schema.fields if f.name not in keys]
     along = F.struct(*(order or [f.name for f in rest if _orderable(f.dataType)]), F.lit(0).alias("__last"))
@@ -50,7 +52,11 @@ def fold_repeats(incoming: DataFrame, keys, policy: dict, default: str, order: l
         newest = F.max_by(name, along)
         return newest if kept is None else F.coalesce(F.max_by(name, F.when(kept(name), along)), newest)
 
-    return incoming.groupBy(*keys).agg(*[last(f.name).alias(f.name) for f in rest], F.count(F.lit(1)).alias("__n"))
+    repeated = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    marked = attach_lookup(incoming, repeated, list(keys))
+    alone = marked.where("__n IS NULL").withColumn("__n", F.lit(1).cast("bigint"))
+    folded = marked.where("__n IS NOT NULL").groupBy(*keys).agg(*[last(f.name).alias(f.name) for f in rest], F.count(F.lit(1)).alias("__n"))
+    return alone.unionByName(folded)
 
 
 def _merge_column(name: str, policy, asof: Column, hit: Column) -> Column:

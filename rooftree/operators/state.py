@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from rooftree import defaults as D
 from rooftree.functions.text import contains_any, has, rx
-from rooftree.operators.skew import age_code, attach_lookup, first_run, ordinal
+from rooftree.operators.skew import age_code, attach_lookup, code_id, code_time, first_run, ordinal
 
 MISS = lambda: F.col("http_status").isin(404, 410)
 SEEN = lambda: F.col("http_status").between(200, 399)
 
 
-def availability_state(checks: DataFrame, threshold: int = 2, key: str = "listing_id", **skew) -> DataFrame:
+def availability_state(checks: DataFrame, threshold: int = 2, key: str = "listing_id") -> DataFrame:
     """Per listing: misses (404/410) since the last success; other outcomes leave the counter alone.
 
     Two map-side-combined aggregates: last success per key, then misses after it.
@@ -22,7 +22,7 @@ def availability_state(checks: DataFrame, threshold: int = 2, key: str = "listin
                                    F.max(F.when(SEEN(), F.col("checked_at"))).alias("last_seen_at"))
     misses = checks.where(MISS()).select(key, "event_id", "at")
     dim = base.where(F.col("last_ok").isNotNull()).select(key, "last_ok")
-    late = attach_lookup(misses, dim, key, **skew)
+    late = attach_lookup(misses, dim, key)
     late = late.where(F.col("last_ok").isNull() | (F.col("at") > F.col("last_ok")))
     counts = late.groupBy(key).agg(F.count(F.lit(1)).alias("missing"))
     out = base.join(counts, key, "left")
@@ -34,12 +34,10 @@ def availability_state(checks: DataFrame, threshold: int = 2, key: str = "listin
 def confirmed_once(checks: DataFrame, threshold: int = 2, key: str = "listing_id", slice_seconds: int = 3_600) -> DataFrame:
     """The one check per listing that first completes ``threshold`` misses in a row (successes reset, others do not)."""
     decisive = checks.where(MISS() | SEEN())
-    ranked = ordinal(decisive, [key], [F.col("checked_at").asc(), F.col("event_id").asc()],
-                     F.floor(F.unix_timestamp("checked_at") / F.lit(slice_seconds)))
-    hits = first_run(ranked, [key], MISS(), threshold)
-    found = ranked.where(MISS()).join(hits.select(key, F.col("run_pos").alias("rn")), [key, "rn"], "inner")
-    return found.select(key, "event_id", F.col("checked_at").alias("confirmed_at"),
-                        F.concat(F.lit("http_"), F.col("http_status").cast("string"), F.lit("_confirmed")).alias("reason"))
+    hits = first_run(decisive, [key], age_code(decisive, "checked_at", "event_id"), MISS(), threshold,
+                     F.floor(F.unix_timestamp("checked_at") / F.lit(slice_seconds)), F.col("http_status"))
+    return hits.select(key, code_id("run_code").alias("event_id"), code_time("run_code", checks.schema["checked_at"].dataType).alias("confirmed_at"),
+                       F.concat(F.lit("http_"), F.col("run_value").cast("string"), F.lit("_confirmed")).alias("reason"))
 
 
 def absence_by_run(runs: DataFrame, sightings: DataFrame, threshold: int = 2, key: str = "listing_id",

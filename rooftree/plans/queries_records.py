@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from rooftree.functions import copygen as C
 from rooftree.operators import normalize as N
+from rooftree.operators import values as V
 from rooftree.plans.bindings import cte
 from rooftree.plans.queries_snapshots import TITLE
 from rooftree.plans.registry import query
@@ -199,13 +200,26 @@ def _(t):
     return P.scan_raw(t.pages, 2000).select("page_id", "url")
 
 
-@query("merge_export", """WITH e AS (SELECT CASE WHEN event_type = 'signup' THEN NULL ELSE 'olx_' || CAST(user_id AS VARCHAR) END AS k, event_id, CASE WHEN event_type = 'error' THEN NULL ELSE '+38067' || CAST(1000000 + event_id % 3 AS VARCHAR) END AS ph FROM events)
-SELECT k AS external_id, string_agg(ph, ',' ORDER BY o) AS phones FROM (SELECT k, ph, min(event_id) AS o FROM e WHERE k IS NOT NULL AND ph IS NOT NULL GROUP BY k, ph) GROUP BY k""")
-def _(t):
+EXPORT = """WITH e AS (SELECT CASE WHEN event_type = 'signup' THEN NULL ELSE 'olx_' || CAST(user_id AS VARCHAR) END AS k, event_id, CASE WHEN event_type = 'error' THEN NULL ELSE '+38067' || CAST(1000000 + event_id % 3 AS VARCHAR) END AS ph FROM events)
+"""
+
+
+def _export(t):
     phone = F.when(F.col("event_type") != "error", F.concat(F.lit("067 "), (F.lit(1000000) + F.col("event_id") % 3).cast("string")))
-    rows = t.events.select(F.lit("").alias("external_token"), F.when(F.col("event_type") == "signup", "no id here").otherwise(
+    return t.events.select(F.lit("").alias("external_token"), F.when(F.col("event_type") == "signup", "no id here").otherwise(
         F.concat(F.lit("https://board.example/x-ID"), F.col("user_id").cast("string"), F.lit(".html"))).alias("url"), phone.alias("phone"), F.col("event_id").alias("pos"))
-    return payloads.merge_export(rows)[0].select("external_id", F.array_join("merged", ",").alias("phones"))
+
+
+@query("merge_export", EXPORT + """SELECT k AS external_id, string_agg(ph, ',' ORDER BY o) AS phones FROM (SELECT k, ph, min(event_id) AS o FROM e WHERE k IS NOT NULL AND ph IS NOT NULL GROUP BY k, ph) GROUP BY k""")
+def _(t):
+    return payloads.merge_export(_export(t))[0].select("external_id", F.array_join("merged", ",").alias("phones"))
+
+
+@query("merge_values_long", EXPORT + """SELECT k AS external_id, row_number() OVER (PARTITION BY k ORDER BY o, ph) AS value_no, ph AS value
+ FROM (SELECT k, ph, min(event_id) AS o FROM e WHERE k IS NOT NULL AND ph IS NOT NULL GROUP BY k, ph)""")
+def _(t):
+    keyed = payloads.keyed_export(_export(t))
+    return V.ordered_values(keyed, "external_id", "phones", "pos", width=512)
 
 
 @query("grid_roundtrip", L + """SELECT operation AS tab, count(*) AS n_rows FROM listings GROUP BY 1""")

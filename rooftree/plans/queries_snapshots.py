@@ -11,6 +11,7 @@ from rooftree.plans.bindings import cte
 from rooftree.plans.queries_filters import COPY_BAD, LIVE
 from rooftree.plans.queries_joins import PROJECT
 from rooftree.plans.registry import query
+from rooftree.session import staged
 
 ASOF = "TIMESTAMP '2024-02-01 00:00:00'"
 L, LI = cte("listings"), cte("listings", "listings_in")
@@ -285,13 +286,24 @@ def _(t):
     return RC.diff_rows(_grid(t.listings), _grid(t.listings_in, decimal=True), "external_id", ("seen",))
 
 
-@query("mismatch_report", LI + f""", j AS (SELECT COALESCE(a.external_id, b.external_id) AS k, a.external_id IS NOT NULL AS w, b.external_id IS NOT NULL AS f, {', '.join(f'{e} AS same_{n}' for n, e in CELLS.items())}
+ISSUES = LI + f""", j AS (SELECT COALESCE(a.external_id, b.external_id) AS k, a.external_id IS NOT NULL AS w, b.external_id IS NOT NULL AS f, {', '.join(f'{e} AS same_{n}' for n, e in CELLS.items())}
  FROM listings a FULL JOIN listings_in b ON b.external_id = a.external_id), i AS (SELECT 'missing' AS kind, '' AS field, k FROM j WHERE w AND NOT f UNION ALL SELECT 'stale', '', k FROM j WHERE f AND NOT w
  """ + " ".join(f"UNION ALL SELECT 'mismatch', '{n}', k FROM j WHERE w AND f AND NOT same_{n}" for n in CELLS) + """)
-SELECT kind, field, count(*) AS n, array_to_string(list_sort(list(k ORDER BY k))[1:CASE WHEN kind = 'mismatch' THEN 10 ELSE 100 END], ',') AS sample FROM i GROUP BY kind, field""")
+"""
+
+
+def _mismatches(t):
+    return RC.mismatch_rows(_grid(t.listings), _grid(t.listings_in, decimal=True), "external_id", ("seen",))
+
+
+@query("mismatch_rows", ISSUES + "SELECT kind, field, k FROM i")
+def _(t):
+    return _mismatches(t)
+
+
+@query("mismatch_report", ISSUES + """SELECT kind, field, count(*) AS n, array_to_string(list_sort(list(k ORDER BY k))[1:CASE WHEN kind = 'mismatch' THEN 10 ELSE 100 END], ',') AS sample FROM i GROUP BY kind, field""")
 def _(t):
-    out = RC.mismatch_report(_grid(t.listings), _grid(t.listings_in, decimal=True), "external_id", ("seen",))
-    return out.select("kind", "field", "n", F.array_join("sample", ",").alias("sample"))
+    return RC.mismatch_report(staged(_mismatches(t))).select("kind", "field", "n", F.array_join("sample", ",").alias("sample"))
 
 
 @query("upsert_repeated_keys", """

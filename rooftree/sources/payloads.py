@@ -77,6 +77,10 @@ def read_export(spark: SparkSession, path: str, array: bool = True) -> tuple[Dat
     return merge_export(rows)
 
 
+def keyed_export(rows: DataFrame) -> DataFrame:
+    """(external_id, phones, pos) of export rows."""
+    return rows.select(export_key("external_token", "url").alias("external_id"), phone_values("phone").alias("phones"), "pos")
+
+
 def merge_export(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    keyed = rows.select(export_key("external_token", "url").alias("external_id"), phone_values("phone").alias("phones"), "pos")
-    return merge_values_by_key(keyed, "external_id", "phones", "pos")
+    return merge_values_by_key(keyed_export(rows), "external_id", "phones", "pos")

@@ -1,4 +1,4 @@
-"""Skew-safe primitives against plain windows and brute force, with the hot-key paths forced on."""
+"""Skew-safe primitives against plain windows and brute force."""
 import random
 
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +10,6 @@ from rooftree.functions.text import digits
 from rooftree.operators import dedupe, quality, reconcile, selection, skew, state
 from rooftree.operators.quality import source_filter
 
-HOT = dict(hot_rows=5, salts=3)
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -28,16 +27,14 @@ def test_attach_group_equals_window(spark):
     df = skewed(spark)
     w = Window.partitionBy("k")
     want = df.select("*", F.max("v").over(w).alias("m"), F.count("*").over(w).alias("n"))
-    for opts in ({}, HOT):
-        assert as_set(skew.attach_group(df, ["k"], {"m": F.max("v"), "n": F.count(F.lit(1))}, **opts)) == as_set(want)
+    assert as_set(skew.attach_group(df, ["k"], {"m": F.max("v"), "n": F.count(F.lit(1))})) == as_set(want)
 
 
-def test_attach_lookup_counts_hot_keys_itself(spark):
+def test_attach_lookup_equals_a_left_join(spark):
     df = skewed(spark)
     dim = spark.createDataFrame([("hot", 1), ("a", 2), ("k3", 3)], "k string, x int")
     want = df.join(dim, "k", "left").select("id", "k", "v", "x")
-    for opts in ({}, HOT):
-        assert as_set(skew.attach_lookup(df, dim, "k", **opts)) == as_set(want)
+    assert as_set(skew.attach_lookup(df, dim, "k")) == as_set(want)
 
 
 def test_ordinal_equals_row_number(spark):
@@ -72,9 +69,8 @@ def test_availability_and_confirmation_against_replay(spark, codes):
         missing[listing] = n + 1 if code in (404, 410) else 0 if code and 200 <= code <= 399 else n
         if code in (404, 410) and missing[listing] >= 2:
             confirmed.setdefault(listing, i)
-    for opts in ({}, HOT):
-        got = {r.listing_id: r.missing for r in state.availability_state(df, **opts).collect()}
-        assert got == missing
+    got = {r.listing_id: r.missing for r in state.availability_state(df).collect()}
+    assert got == missing
     got = {r.listing_id: r.event_id for r in state.confirmed_once(df, slice_seconds=7200).collect()}
     assert got == confirmed
 
@@ -88,9 +84,8 @@ def test_throttle_cut_against_replay(spark, codes):
         want.append(cut)
         run = run + 1 if c == 429 else 0
         cut = cut or run >= 3
-    for opts in ({}, HOT):
-        got = [r.deferred for r in selection.throttle_cut(df, ["scope"], "pos", width=8, **opts).orderBy("pos").collect()]
-        assert got == want
+    got = [r.deferred for r in selection.throttle_cut(df, ["scope"], "pos", width=8).orderBy("pos").collect()]
+    assert got == want
 
 
 def listings(spark, n=300):
@@ -112,10 +107,9 @@ def test_dedupe_keeps_the_newest_row_per_key(spark):
         if r["status"] == "active" and not r["source"].startswith("feed") and (r["url"] or "").strip():
             groups.setdefault(r["url"], []).append(r)
     keeper = {r["id"]: max(g, key=lambda x: (x["updated_at"] is not None, x["updated_at"] or 0, x["id"]))["id"] for g in groups.values() for r in g}
-    for opts in ({}, HOT):
-        for r in dedupe.dedupe_by_url(df, **opts).collect():
-            k = keeper.get(r.id)
-            assert (r.status == "inactive" and r.comments == f"duplicate_url:{k}") if k not in (None, r.id) else r.comments is None
+    for r in dedupe.dedupe_by_url(df).collect():
+        k = keeper.get(r.id)
+        assert (r.status == "inactive" and r.comments == f"duplicate_url:{k}") if k not in (None, r.id) else r.comments is None
 
 
 def cross_source_pairs(df: DataFrame, min_title: int = 20, min_phone: int = 10) -> DataFrame:
@@ -135,8 +129,7 @@ def cross_source_pairs(df: DataFrame, min_title: int = 20, min_phone: int = 10)
 
 def test_cross_source_window_form_equals_pairs(spark):
     df = listings(spark)
-    for opts in ({}, HOT):
-        assert as_set(dedupe.cross_source_duplicates(df, **opts).distinct()) == as_set(cross_source_pairs(df).distinct())
+    assert as_set(dedupe.cross_source_duplicates(df).distinct()) == as_set(cross_source_pairs(df).distinct())
 
 
 def test_first_rule_wins_and_null_rules_do_not_match(spark):
@@ -151,8 +144,51 @@ def test_first_rule_wins_and_null_rules_do_not_match(spark):
 def test_reconcile_applied_gives_the_expected_ids(spark, want, copy):
     expected = spark.createDataFrame([(str(w),) for w in want], "id string")
     actual = spark.createDataFrame([(None if c is None else str(c), i, "cell") for i, c in enumerate(copy)], "id string, pos bigint, x string")
-    plan = reconcile.reconcile(expected, actual, "id", "pos", **HOT).collect()
+    plan = reconcile.reconcile(expected, actual, "id", "pos").collect()
     keep = [r.id for r in plan if r.action in ("keep", "append")]
     assert sorted(keep) == sorted({str(w) for w in want})
     drop = {r.pos for r in plan if r.action in ("stale", "duplicate", "orphan")}
     assert sorted(str(c) for i, c in enumerate(copy) if i not in drop) == sorted({str(w) for w in want} & {str(c) for c in copy if c})
+
+
+@FEW
+@given(flags=st.lists(st.tuples(st.sampled_from("xy"), st.integers(0, 2)), min_size=1, max_size=60), width=st.sampled_from([1, 3, 7, 1000]), k=st.integers(1, 4))
+def test_first_run_over_slices(spark, flags, width, k):
+    df = spark.createDataFrame([(g, i, f) for i, (g, f) in enumerate(flags)], "g string, p long, f int")
+    found = skew.first_run(df, ["g"], F.col("p"), F.col("f") > 0, k, F.floor(F.col("p") / width), F.col("f"))
+    want = {}
+    for group in "xy":
+        length = 0
+        for i, (g, f) in enumerate(flags):
+            if g == group:
+                length = length + 1 if f else 0
+                if length == k:
+                    want.setdefault(group, (i, f))
+    assert {r.g: (r.run_code, r.run_value) for r in found.collect()} == want
+
+
+def test_islands_across_many_levels(spark):
+    edges = [(1 << b) + d for b in (3, 16, 17, 32, 48, 61) for d in (-2, -1, 0, 1)] + [-3, -2, -1, 0, 1] + [-(1 << 16) - 1, -(1 << 16), 1 - (1 << 16)]
+    df = spark.createDataFrame([(p,) for p in set(edges)], "p long")
+    for width in (1, 8, 65_536):
+        got = sorted((r.range_start, r.range_end) for r in skew.islands(df, "p", width=width).collect())
+        want = []
+        for p in sorted(set(edges)):
+            if want and want[-1][1] == p - 1:
+                want[-1] = (want[-1][0], p)
+            else:
+                want.append((p, p))
+        assert got == want
+
+
+def test_islands_and_hot_logs_never_meet_in_one_task(spark):
+    df = spark.range(1_000)
+    plan = skew.islands(df, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_ordinal_without_groups_sums_offsets_in_parts(spark):
+    df = spark.range(0, 9_000, 3)
+    got = skew._offsets(df.groupBy(F.floor(F.col("id") / 2).alias("__slice")).agg(F.count("*").alias("__cnt")), [], fan=50)
+    rows = sorted((r["__slice"], r["__offset"]) for r in got.collect())
+    assert [o for _, o in rows] == list(range(len(rows)))
