@@ -128,6 +128,7 @@ SENSITIVE_SENTENCE = (
     r"\bзателеф\w*|\bдзвон\w*|whatsapp|telegram|\+?38[\s()\-]*0\d{2}[\s()\-]*\d{3}[\s()\-]*\d{2}[\s()\-]*\d{2})")
 TITLE_SUFFIX = r"\s*(?:[-–—]|\|)\s*(?:оголошення|объявление)\s*№?\s*\d+.*$"
 MIN_SENTENCE = 12
+FULL_HEAD = 500  # characters before a foreign-language marker that make a complete text
 DETAILED_MIN = 180
 
 # --- facts from prose -------------------------------------------------------------------------
@@ -251,3 +252,57 @@ GRID_WIDTHS = {
     "description": 49_000, "ai_description": 49_000, "rooms": 5, "area": 10, "floor": 5, "floors_total": 5, "district": 50,
     "city": 500, "street": 100, "residential_complex": 80, "metro_station": 50, "agent_type": 30, "agent_name": 80,
     "agent_phone": 50, "commission": 50, "created_at": 19, "updated_at": 19, "comments": 100}
+
+# --- page blocks --------------------------------------------------------------------------------
+# Block -> rules (tag, attribute, comparison, value[, inner tag]) of the sites' markup.
+BOARD_BLOCKS = {
+    "price": [("h3", "class", "*=", "price")], "params": [("li", "class", "*=", "param"), ("p", "class", "*=", "css-odhutu")],
+    "description": [("div", "data-cy", "=", "ad_description"), ("div", "class", "*=", "description")],
+    "location": [("p", "class", "*=", "location")], "seller": [("div", "class", "*=", "user-info"), ("h4", "class", "*=", "seller")],
+    "photos": [("div", "class", "*=", "photo"), ("div", "class", "*=", "swiper")]}
+AGENCY_BLOCKS = {
+    "price": [("div", "class", "~=", "offer-view-price-title"), ("div", "class", "~=", "offer-view-price")],
+    "params": [("div", "class", "~=", "offer-view-details-row")], "description": [("div", "class", "~=", "offer-view-section-text")],
+    "street": [("div", "class", "~=", "offer-view-address")], "location": [("div", "class", "~=", "offer-view-address-line")],
+    "region": [("div", "class", "~=", "offer-view-region")], "seller": [("a", "class", "~=", "offer-view-rieltor-name")],
+    "position": [("div", "class", "~=", "offer-view-rieltor-position")], "phones": [("div", "class", "~=", "offer-view-rieltor-phones")],
+    "labels": [("div", "class", "~=", "offer-view-labels")], "agency": [("a", "class", "~=", "offer-view-rieltor-agency-link")],
+    "photos": [("div", "class", "~=", "offer-view-gallery"), ("div", "class", "*=", "offer-photo-gallery")]}
+COMMERCIAL_BOARD_BLOCKS = {
+    "price": [("h3", "class", "*=", "price"), ("div", "data-testid", "=", "ad-price-container", "h3")],
+    "params": [("li", "class", "*=", "param", "p"), ("ul", "class", "*=", "params", "li"), ("*", "data-testid", "*=", "parameter", "p")],
+    "description": [("div", "data-cy", "=", "ad_description", "div"), ("div", "class", "*=", "description")],
+    "location": [("a", "href", "*=", "map", "span"), ("p", "class", "*=", "location")],
+    "seller": [("div", "class", "*=", "user-info", "a"), ("h4", "class", "*=", "seller")]}
+COMMERCIAL_AGENCY_BLOCKS = {
+    "title": [("h1", "class", "*=", ""), ("span", "class", "~=", "offer-photo-gallery__title")],
+    "price": [("div", "class", "~=", "offer-view-price-title"), ("div", "class", "~=", "offer-view-price")],
+    "address": [("div", "class", "~=", "offer-view-address"), ("div", "class", "~=", "offer-view-address-line")],
+    "region": [("div", "class", "~=", "offer-view-region")], "description": [("div", "class", "~=", "offer-view-section-text")],
+    "details": [("div", "class", "~=", "offer-view-details-row")], "name": [("a", "class", "~=", "offer-view-rieltor-name")],
+    "position": [("div", "class", "~=", "offer-view-rieltor-position")], "agency": [("a", "class", "~=", "offer-view-rieltor-agency-link")],
+    "phones": [("div", "class", "~=", "offer-view-rieltor-phones")]}
+COMMERCIAL_STREET = r"(?<![\wіїєґ])((?:вул(?:иця)?\.?|ул\.?|просп(?:ект)?\.?|бульв(?:ар)?\.?|пров(?:улок)?\.?)\s*[^,\n|/()]{2,100})"
+
+# --- display grids of the other catalogs --------------------------------------------------------
+# Headers of the commercial sheet, in order.
+COMMERCIAL_HEADERS = [
+    "ID", "Ext ID", "Фото", "Джерело", "Операція", "Статус", "Тип комерції", "Підтип", "URL",
+    "Заголовок", "AI заголовок", "Опис", "AI опис",
+    "Ціна за приміщення, грн", "Ціна за приміщення, $", "Ціна за приміщення, €", "Період ціни", "Ціна за м², грн", "Ціна за м², $", "Ціна за м², €", "Період ціни за м²",
+    "Площа, м²", "Корисна площа, м²", "Поверх", "Висота стелі, м", "Район", "Місто", "Вулиця", "Повна адреса",
+    "Призначення", "Стан", "Планування", "Потужність, кВт",
+    "Генератор", "Резервне живлення", "Вентиляція", "Кондиціонування", "Фасад", "Окремий вхід", "Вітрини",
+    "Рампа", "Док", "Паркомісць", "Хто розміщує", "Ім'я", "Агенція", "Телефони", "Комісія",
+    "ПДВ включено", "OPEX", "Комунальні включено", "Створено", "Оновлено", "Розібрано", "Помилки валідації", "Коментарі"]
+# Widths of the commercial and of the house sheet's cells, by column.
+COMMERCIAL_WIDTHS = {
+    "id": 30, "external_id": 60, "photo_url": 1_000, "source": 30, "commercial_type": 80, "commercial_subtype": 100, "url": 1_000, "title": 500, "ai_title": 500,
+    "description": 49_000, "ai_description": 49_000, "price_period": 20, "price_per_m2_period": 20, "floor_label": 80, "district": 100, "city": 50, "street": 160,
+    "full_address": 300, "permitted_use": 300, "condition": 100, "layout_type": 100, "advertiser_type": 40, "contact_name": 100, "agency_name": 160, "phones": 300,
+    "commission_text": 120, "created_at": 40, "updated_at": 40, "parsed_at": 40, "validation_errors": 500, "comments": 1_000}
+HOUSE_COLUMNS = [
+    "id", "external_id", "photo_url", "source", "operation", "property_type", "url", "title", "ai_title", "description", "ai_description", "price_uah", "price_usd", "price_eur",
+    "rooms", "area", "floor", "floors_total", "district", "city", "street", "residential_complex", "metro_station", "agent_type", "agent_name", "agent_phone", "commission",
+    "created_at", "updated_at", "comments"]
+HOUSE_WIDTHS = {c: 49_000 if c in ("description", "ai_description") else 500 for c in HOUSE_COLUMNS}

@@ -19,7 +19,7 @@ def distinct_ordered(*arrays) -> Column:
 def https_photos(photos, primary=None) -> Column:
     """Secure photo URLs of a row, trimmed, distinct, list first and the single photo last."""
     last = EMPTY() if primary is None else F.array(as_col(primary))
-    urls = F.transform(F.concat(F.coalesce(as_col(photos), EMPTY()), last), F.trim)
+    urls = F.transform(F.concat(F.coalesce(as_col(photos), EMPTY()), last), lambda u: F.trim(u))
     return F.array_distinct(F.filter(urls, lambda u: u.startswith("https://")))
 
 

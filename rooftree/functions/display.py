@@ -74,6 +74,44 @@ def listing_grid_spec(widths: dict[str, int] | None = None) -> dict[str, Column]
     return dict(zip(D.GRID_HEADERS, cells))
 
 
+def _one_of(df: DataFrame, name: str) -> Column:
+    return F.col(name) if name in df.columns else F.lit(None).cast("string")
+
+
+def commercial_grid_spec(df: DataFrame, widths: dict[str, int] | None = None) -> dict[str, Column]:
+    """Column spec of the commercial sheet for the columns that ``df`` has; others are blank."""
+    widths, g = widths or {}, lambda name: _one_of(df, name)
+    t = lambda name, value=None: safe_text(g(name) if value is None else value, widths.get(name))
+    n = lambda name: number_cell(g(name))
+    yes = lambda name: F.when(F.coalesce(g(name).cast("boolean"), F.lit(False)), "Так").otherwise("")
+    joined = lambda name, sep: t(name, F.array_join(g(name), sep) if name in df.columns else None)
+    floor = floor_display(g("floor"), g("floors_total"), t("floor_label"))
+    cells = [
+        t("id"), t("external_id"), image_cell(t("photo_url")), t("source"), F.when(g("operation") == "rent", "Оренда").otherwise("Продаж"), label_status(g("status")),
+        *map(t, ("commercial_type", "commercial_subtype", "url", "title", "ai_title", "description", "ai_description")),
+        *map(n, ("price_uah", "price_usd", "price_eur")), t("price_period"), *map(n, ("price_per_m2_uah", "price_per_m2_usd", "price_per_m2_eur")), t("price_per_m2_period"),
+        n("area_total_m2"), n("area_usable_m2"), floor, n("ceiling_height_m"),
+        *map(t, ("district", "city", "street", "full_address", "permitted_use", "condition", "layout_type")), n("electric_power_kw"),
+        *map(yes, ("generator", "electricity_backup", "ventilation", "air_conditioning", "facade", "separate_entrance", "showcase_windows", "ramp", "loading_dock")),
+        n("parking_spaces"), *map(t, ("advertiser_type", "contact_name", "agency_name")), joined("phones", " "), t("commission_text"), yes("vat_included"),
+        n("opex_amount"), yes("utilities_included"), *map(t, ("created_at", "updated_at", "parsed_at")), joined("validation_errors", ", "), t("comments")]
+    return dict(zip(D.COMMERCIAL_HEADERS, cells))
+
+
+def plain_text(c, limit: int | None = None) -> Column:
+    """Trimmed, cut if a width is given, with a quote before a formula; none-like words stay."""
+    def shown(s):
+        return F.when(s.rlike(r"^[=+\-@]"), F.concat(F.lit("'"), s)).otherwise(s)
+
+    return F.coalesce(let(cut(F.trim(as_col(c).cast("string")), limit), shown), F.lit(""))
+
+
+def house_grid_spec(widths: dict[str, int] | None = None) -> dict[str, Column]:
+    """Column spec of the house sheet, named by the catalog's columns."""
+    widths = widths or {}
+    return {c: image_cell(c) if c == "photo_url" else plain_text(c, widths.get(c)) for c in D.HOUSE_COLUMNS}
+
+
 def display_projection(df: DataFrame, spec: dict[str, Column] | None = None) -> DataFrame:
     """Project rows to display strings by a header -> expression spec; whole texts unless the spec has widths."""
     spec = spec or listing_grid_spec()

@@ -153,11 +153,15 @@ def cut(c: Column, limit: int | None) -> Column:
 
 
 def redact_text(c, banned: str = D.BANNED, redactions=tuple(D.REDACTIONS), phone: str = D.PHONE_SHAPE,
-                url: str = D.URL_SHAPE, min_len: int = D.MIN_SENTENCE, limit: int | None = None) -> Column:
-    """Drop phones, links, foreign-language tail and contact phrases; keep clean sentences only."""
+                url: str = D.URL_SHAPE, min_len: int = D.MIN_SENTENCE, limit: int | None = None, full_head: int = D.FULL_HEAD) -> Column:
+    """Drop phones, links, foreign-language tail and contact phrases; keep clean sentences only.
+
+    The tail begins at a marker.  Where over ``full_head`` characters stand before it, the text before it is complete and the
+    tail goes; a marker nearer to the start is a mere heading, of which only its line goes.
+    """
     def before_marker(text):
         head = F.element_at(F.split(text, regex(D.ENGLISH_MARKER), 2), 1)  # whole text when there is no marker
-        return let(head, lambda h: F.when((F.length(h) > 500) | (F.length(h) == F.length(text)), h)
+        return let(head, lambda h: F.when((F.length(h) > full_head) | (F.length(h) == F.length(text)), h)
                    .otherwise(drop(text, D.ENGLISH_MARKER + r"[^\n]*")))
 
     text = let(drop(drop(F.coalesce(as_col(c), F.lit("")), phone), url), before_marker)

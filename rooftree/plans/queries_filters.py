@@ -139,6 +139,37 @@ def _(t):
     return display.display_projection(t.listings, display.listing_grid_spec(D.GRID_WIDTHS))
 
 
+def _plain(c, n):
+    text = f"left(trim(CAST({c} AS VARCHAR)), {n})"
+    return f"COALESCE(CASE WHEN regexp_matches({text}, '^[=+\\-@]') THEN '\'\'' || {text} ELSE {text} END, '')".replace("\\'\\'", "\'\'\'")
+
+
+def _image(c):
+    return f"CASE WHEN {c} LIKE 'http%' THEN '=IMAGE(\"' || {c} || '\")' ELSE '' END"
+
+
+@query("house_display", L + "SELECT " + ", ".join(f"{_image(c) if c == 'photo_url' else _plain(c, D.HOUSE_WIDTHS[c])} AS {c}" for c in D.HOUSE_COLUMNS if not c.startswith("price") and c != "area")
+       + " FROM listings")
+def _(t):
+    shown = display.display_projection(t.listings, display.house_grid_spec(D.HOUSE_WIDTHS))
+    return shown.drop("price_uah", "price_usd", "price_eur", "area")
+
+
+COMMERCIAL = {"ID": _safe("id", 30), "Ext ID": _safe("external_id", 60), "Фото": _image("photo_url"), "Джерело": _safe("source", 30),
+              "Операція": "CASE operation WHEN 'rent' THEN 'Оренда' ELSE 'Продаж' END", "Тип комерції": _safe("property_type", 80), "URL": _safe("url", 1000), "Заголовок": _safe("title", 500),
+              "AI заголовок": _safe("ai_title", 500), "Опис": _safe("description", 49000), "AI опис": _safe("ai_description", 49000), "Ціна за приміщення, грн": _int("price_uah"),
+              "Ціна за приміщення, $": _int("price_usd"), "Ціна за приміщення, €": _int("price_eur"), "Площа, м²": _int("area"), "Район": _safe("district", 100), "Місто": _safe("city", 50),
+              "Вулиця": _safe("street", 160), "Генератор": "CASE WHEN rooms > 2 THEN 'Так' ELSE '' END", "Ім'я": _safe("agent_name", 100), "Телефони": _safe("agent_phone", 300),
+              "Створено": _safe("created_at", 40), "Коментарі": _safe("comments", 1000)}
+
+
+@query("commercial_display", L + "SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in COMMERCIAL.items()) + " FROM listings")
+def _(t):
+    rows = t.listings.withColumns({"commercial_type": F.col("property_type"), "area_total_m2": F.col("area"), "generator": F.col("rooms") > 2, "contact_name": F.col("agent_name"),
+                                   "phones": F.array_compact(F.array("agent_phone"))})
+    return display.display_projection(rows, display.commercial_grid_spec(rows, D.COMMERCIAL_WIDTHS)).select(*[F.col(f"`{n}`") for n in COMMERCIAL])
+
+
 LABEL = "CASE status WHEN 'active' THEN 'Актуальне' WHEN 'inactive' THEN 'Неактуальне' WHEN 'archived' THEN 'Архів' ELSE 'На перевірці' END"
 
 

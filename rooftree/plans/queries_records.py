@@ -3,6 +3,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from rooftree import defaults as D
 from rooftree.functions import copygen as C
 from rooftree.operators import normalize as N
 from rooftree.operators import values as V
@@ -250,11 +251,11 @@ def _(t):
     return P.extract_page_fields(t.pages).select("page_id", "url", "title", "h1")
 
 
-@query("page_blocks")
+@query("page_blocks", f"""SELECT page_id, (SELECT coalesce(string_agg({TEXT("x")}, '|'), '') FROM (SELECT unnest(regexp_extract_all(html, '(?s)<div [^>]*class="[^"]*ad[^"]*"[^>]*>.*?</div>')) AS x) b) AS ads,
+ CAST(len(regexp_extract_all(html, '<h1[ >]')) AS INTEGER) AS n_headings FROM pages""")
 def _(t):
-    """Text of article headings and list items of every page, parsed in Arrow batches."""
-    blocks = {"heading": [("h1", "class", "")], "ad": [("div", "class", "ad")]}
-    out = P.extract_blocks(t.pages, blocks)
+    """Text of adverts and the number of headings of every page, parsed in Arrow batches."""
+    out = P.extract_blocks(t.pages, {"heading": [("h1", "class", "*=", "")], "ad": [("div", "class", "*=", "ad")]})
     return out.select("page_id", F.array_join("ad", "|").alias("ads"), F.size("heading").alias("n_headings"))
 
 
@@ -264,7 +265,63 @@ def _(t):
     return P.extract_links(t.pages)
 
 
-@query("board_page_fields")
+@query("board_page_fields", f"SELECT page_id, {TEXT(INNER('h1'))} AS title, CAST(0 AS INTEGER) AS n_photos FROM pages")
 def _(t):
-    """Listing fields of every page by the board rules (JSON-LD, meta tags, labelled blocks)."""
-    return P.board_fields(t.pages).select("page_id", "title", "description", "price_raw", "district", F.size("photos").alias("n_photos"))
+    """Listing fields of every page by the board rules; these pages have a heading and no labelled block."""
+    return P.board_fields(t.pages).select("page_id", "title", F.size("photos").alias("n_photos"))
+
+
+# ---- pages of listings: the markup of each site around the listings' own values ----------------------------------------------------
+
+PAGE = """id, '<html><head><title>x</title><meta property="og:image" content="' || COALESCE(photo_url, '') || '"></head><body class="page">' ||
+ '{body}' || '<ul class="more"><li><a href="/x">other</a><li>unclosed</ul></body></html>' AS html"""
+V_ = lambda e: f"' || COALESCE(CAST({e} AS STRING), '') || '"
+BOARD = PAGE.format(body=f"""<script type="application/ld+json">{{"@type": "Product", "name": "{V_('title')}", "description": "ld", "offers": {{"price": "{V_('CAST(price_uah AS BIGINT)')}"}}}}</script>
+<h1>Heading</h1><div data-cy="ad_description"><div>{V_('description')}</div></div><ul class="css params"><li><p>Загальна площа: {V_('CAST(area AS BIGINT)')},5 м²</p></li>
+<li>Поверх: {V_('floor')} / {V_('floors_total')}</li><li>Поверх окремий</li></ul><p class="css-location">Київ, {V_('street')}</p><h4 class="seller-name"> {V_('agent_name')} </h4>
+<img src="https://cdn.example/{V_('id')}.jpg"><div><img data-src="https://cdn.example/b.jpg" src="x"></div>""")
+AGENCY = PAGE.format(body=f"""<h1>{V_('title')}</h1><div class="offer-view-price-title">{V_('CAST(price_usd AS BIGINT)')} $</div><div class="offer-view-region">Київ, {V_('district')} р-н</div>
+<div class="offer-view-address">{V_('street')}</div><div class="offer-view-details-row">{V_('rooms')} кімнати</div><div class="offer-view-details-row">{V_('CAST(area AS BIGINT)')},5 / 1 / 2 м²</div>
+<div class="offer-view-details-row">{V_('floor')} з {V_('floors_total')} поверх</div><div class="offer-view-section-text"><p>{V_('description')}</p></div><a class="offer-view-rieltor-name">{V_('agent_name')}</a>
+<div class="offer-view-rieltor-position">{V_("CASE agent_type WHEN 'owner' THEN 'Власник' ELSE 'Рієлтор' END")}</div><div class="offer-view-rieltor-phones">тел {V_('agent_phone')}</div>
+<div class="offer-view-gallery"><img src="https://cdn.example/{V_('id')}.jpg"></div>""")
+SPACED = lambda c: f"NULLIF(trim(regexp_replace({c}, '\\s+', ' ', 'g')), '')"
+WHOLE = lambda c: f"CAST(CAST({c} AS BIGINT) AS VARCHAR)"
+
+
+def _listing_pages(t, markup):
+    return t.listings.selectExpr(*markup.split(", ", 1)[:1], markup.split(", ", 1)[1])
+
+
+@query("agency_pages", L + f"""SELECT id, {SPACED('title')} AS title, {SPACED('description')} AS description, COALESCE({WHOLE('price_usd')}, '') || CASE WHEN price_usd IS NULL THEN '$' ELSE ' $' END AS price_raw,
+ CAST(rooms AS VARCHAR) AS rooms, CASE WHEN area IS NULL THEN '.5' ELSE {WHOLE('area')} || '.5' END AS area, 'Київ' AS city, COALESCE(NULLIF(trim(district), ''), '') AS district, {SPACED('agent_name')} AS contact_name,
+ CASE WHEN agent_type = 'owner' THEN 'owner' ELSE 'agent' END AS agent_type, NULLIF(agent_phone, '') AS contact_phone, 'https://cdn.example/' || CAST(id AS VARCHAR) || '.jpg' AS photos FROM listings""")
+def _(t):
+    out = P.agency_fields(_listing_pages(t, AGENCY), "id")
+    return out.select("id", "title", "description", "price_raw", "rooms", "area", "city", "district", "contact_name", "agent_type", "contact_phone", F.array_join("photos", ",").alias("photos"))
+
+
+@query("commercial_board_pages", L + f"""SELECT id, COALESCE({SPACED('title')}, 'Heading') AS title, COALESCE({SPACED('description')}, 'ld') AS description, {WHOLE('price_uah')} AS price_raw,
+ CASE WHEN area IS NULL THEN '5' ELSE {WHOLE('area')} || ',5' END AS area, CASE WHEN floor IS NOT NULL AND floors_total IS NOT NULL THEN CAST(floor AS VARCHAR) END AS floor,
+ CASE WHEN floor IS NOT NULL AND floors_total IS NOT NULL THEN CAST(floors_total AS VARCHAR) END AS floors_total, 'Поверх окремий' AS floor_label, {SPACED('agent_name')} AS contact_name,
+ 'https://cdn.example/' || CAST(id AS VARCHAR) || '.jpg,https://cdn.example/b.jpg' AS photos FROM listings""")
+def _(t):
+    out = P.commercial_board_fields(_listing_pages(t, BOARD), "id")
+    return out.select("id", "title", "description", "price_raw", "area", "floor", "floors_total", "floor_label", "contact_name", F.array_join("photos", ",").alias("photos"))
+
+
+@query("commercial_agency_pages", L + f"""SELECT id, {SPACED('title')} AS title, {SPACED('description')} AS description, '2' AS area, {SPACED('agent_name')} AS contact_name,
+ CASE WHEN agent_type = 'owner' THEN 'owner' ELSE 'agent' END AS advertiser_type, COALESCE(agent_phone, '') AS phones, {SPACED("COALESCE(street, '') || ' Київ, ' || COALESCE(district, '') || ' р-н'")} AS address FROM listings""")
+def _(t):
+    out = P.commercial_agency_fields(_listing_pages(t, AGENCY), "id")
+    return out.select("id", "title", "description", "area", "contact_name", "advertiser_type", F.array_join("phones", ",").alias("phones"), "address")
+
+
+@query("listing_links", L + """SELECT CAST(floor(id / 25) AS BIGINT) AS page_id, CASE WHEN source = 'rieltor' THEN 'https://rieltor.example/flats-rent/view/' || CAST(id AS VARCHAR) || '/'
+ ELSE 'https://olx.example/d/uk/x-ID' || CAST(id AS VARCHAR) || '.html' END AS href, CASE WHEN source = 'rieltor' THEN 'rieltor_' ELSE 'olx_' END || CAST(id AS VARCHAR) AS external_id FROM listings""")
+def _(t):
+    """Index pages of 25 listings each, and the ids of the listings that they link to."""
+    link = F.when(F.col("source") == "rieltor", F.format_string("https://rieltor.example/flats-rent/view/%d/", "id")).otherwise(F.format_string("/d/uk/x-ID%d.html", "id"))
+    anchor = F.concat(F.lit('<a class="card" href="'), link, F.lit('">x</a> <a href="/help">?</a>'))
+    index = t.listings.groupBy(F.floor(F.col("id") / 25).alias("page_id")).agg(F.array_join(F.collect_list(anchor), "\n").alias("html"))
+    return P.extract_links(index.withColumn("url", F.lit("https://olx.example/list/")), sites=D.SITE_RULES)

@@ -233,9 +233,46 @@ def _(t):
     return t.listings.select("id", C.passes_quality("title", "description").alias("q")).select("id", "q.passed")
 
 
-@query("redact_documents")
+# ---- sentences in SQL: a mark behind the sentence's end, then a split there --------------------------------------------------------
+
+CLEANED = lambda e: f"trim(regexp_replace({e}, {SP}, ' ', 'g'))"
+SENTENCES = lambda e: f"string_split(regexp_replace({e}, '([.!?])[\\s\\p{{Z}}]+', '\\1' || chr(1), 'g'), chr(1))"
+
+
+def _unescaped(e):
+    for entity, char in T.ENTITIES:
+        e = f"replace({e}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return e
+
+
+def _paragraphs(paragraphs, kept):
+    """Paragraphs of the sentences that ``kept`` (over the list of a paragraph ``p``) leaves."""
+    return f"array_to_string(list_filter(list_transform({paragraphs}, lambda p: array_to_string({kept}, ' ')), lambda x: x <> ''), chr(10) || chr(10))"
+
+
+HIDDEN = r"(?i)\b(?:email|phone|password|private|secret)[\p{L}\p{N}_]*|@"
+NO_LABEL = "regexp_replace(" + CLEANED("s") + r", '(?i)^(?:опис|описание|description)\s*[:\-–—]*\s*', '')"
+TIDY = f"regexp_replace(s, '{HIDDEN}', '', 'g')"
+REDACTED = rf"""WITH a AS (SELECT doc_id, regexp_replace(regexp_replace(COALESCE(text, ''), '\+?\d[\d\s()\-]{{8,}}', '', 'g'), '(?i)https?://\S+|www\.\S+', '', 'g') AS t FROM documents),
+b AS (SELECT doc_id, t, string_split_regex(t, '(?i)\*?\s*english\s+text')[1] AS head FROM a),
+c AS (SELECT doc_id, regexp_replace(CASE WHEN length(head) > 500 OR length(head) = length(t) THEN head ELSE regexp_replace(t, '(?i)\*?\s*english\s+text[^\n]*', '', 'g') END,
+ '(?i)\b(?:call|mail)[\p{{L}}\p{{N}}_]*\b[^.!?\n]*', ' ', 'g') AS t FROM b)
+SELECT doc_id, {_paragraphs("string_split_regex(t, '" + chr(92) + "n" + chr(92) + "s*" + chr(92) + "n+')", "list_transform(list_filter(list_transform(" + SENTENCES("p") + ", lambda s: " + NO_LABEL + "), lambda s: length(" + TIDY + ") >= 12 AND (" + TIDY + " = s OR NOT regexp_matches(" + TIDY + ", '" + HIDDEN + "'))), lambda s: " + TIDY + ")")} AS clean FROM c"""
+PUBLIC = "SELECT doc_id, " + _paragraphs("string_split_regex(regexp_replace(" + _unescaped("COALESCE(text, '')") + r", '<[^>]+>', ' ', 'g'), '\n{2,}')",
+                                         "list_filter(" + SENTENCES(CLEANED("p")) + r", lambda s: s <> '' AND NOT regexp_matches(s, '(?i)\b(?:private|secret|password)[\p{L}\p{N}_]*|@'))") + " AS clean FROM documents"
+CHUNKS = rf"""WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split_regex(regexp_replace(text, '(\r\n|\n|\r)$', ''), '\r\n|\n|\r')) AS line, generate_subscripts(string_split_regex(regexp_replace(text, '(\r\n|\n|\r)$', ''), '\r\n|\n|\r'), 1) AS line_no
+ FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, line_no, {CLEANED("line")} AS line FROM l),
+first AS (SELECT doc_id, line_no, line, CASE WHEN length(line) <= 900 THEN line WHEN regexp_matches(line, '^.{{1,900}} ') THEN regexp_extract(line, '^(.{{1,900}}) ', 1) ELSE regexp_extract(line, '^[^ ]+') END AS chunk FROM w),
+c AS (SELECT doc_id, line_no, 1 AS k, chunk, substr(line, length(chunk) + 2) AS rest FROM first
+ UNION ALL SELECT doc_id, line_no, k + 1, piece, substr(rest, length(piece) + 2) FROM (SELECT *, CASE WHEN length(rest) <= 900 THEN rest WHEN regexp_matches(rest, '^.{{1,900}} ') THEN regexp_extract(rest, '^(.{{1,900}}) ', 1)
+  ELSE regexp_extract(rest, '^[^ ]+') END AS piece FROM c WHERE rest <> '') x)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, k) - 1 AS INTEGER) AS pos, chunk FROM c"""
+
+
+@query("redact_documents", REDACTED)
 def _(t):
-    """Whole texts without phones, links or sentences that name contact data (lookbehind splitting: no SQL form)."""
+    """Whole texts without phones, links or sentences that name contact data."""
     banned = r"\b(?:email|phone|password|private|secret)\w*|@"
     return t.read("documents").select("doc_id", T.redact_text("text", banned, (r"\b(?:call|mail)\w*\b[^.!?\n]*",), D.PHONE_LOOSE, limit=None).alias("clean"))
 
@@ -251,9 +288,9 @@ def _(t):
     return t.pages.select("page_id", T.clean_text(T.strip_html("html")).alias("body"))
 
 
-@query("publishable_text")
+@query("publishable_text", PUBLIC)
 def _(t):
-    """Whole texts, sentence filter with lookbehind splitting (no SQL form)."""
+    """Whole texts without markup and without sentences that name something private."""
     return t.read("documents").select("doc_id", T.publishable_text("text", r"\b(?:private|secret|password)\w*|@", None).alias("clean"))
 
 
@@ -266,9 +303,9 @@ def _(t):
     return rows.select("doc_id", T.numbers_supported("text", "source_text", ["doc_id"], 180, None, none, none, none).alias("supported"))
 
 
-@query("chunk_text")
+@query("chunk_text", CHUNKS)
 def _(t):
-    """Word-bounded chunks of whole texts (greedy packing: no SQL form)."""
+    """Word-bounded chunks of whole texts, packed greedily."""
     return t.read("documents").select("doc_id", F.posexplode(T.chunk_text("text", 900)).alias("pos", "chunk"))
 
 

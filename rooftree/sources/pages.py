@@ -8,9 +8,10 @@ from __future__ import annotations
 from html.parser import HTMLParser
 from typing import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rooftree import defaults as D
 from rooftree.functions.facts import detect_by_tokens, extract_street
@@ -68,9 +69,12 @@ def _without_dots(url: str) -> Column:
 
 
 def extract_links(pages: DataFrame, pattern: str = r"<a\b[^>]*\bhref\s*=\s*[\"']([^\"']+)[\"']", base: Column | None = None,
-                  scope: str | None = None, html: str = "html", key: str = "page_id") -> DataFrame:
+                  scope: str | None = None, html: str = "html", key: str = "page_id", sites: list | None = None) -> DataFrame:
     """Distinct absolute links of each page, optionally only those that match ``scope``.
 
+    With ``sites`` (marker, id pattern, prefix) each link has the ``external_id`` that its site's rule finds; links of other
+    sites and links without an id are left out.
+
     Every relative form is resolved against the page's address (or ``base``); links to other schemes and to places in the
     page itself are left out.
     """
@@ -85,7 +89,14 @@ def extract_links(pages: DataFrame, pattern: str = r"<a\b[^>]*\bhref\s*=\s*[\"']
     out = out.withColumn("full", full)
     out = out.withColumn("href", F.when(F.col("full").rlike(r"/\.{1,2}(/|$|[?#])"), _without_dots("full")).otherwise(F.col("full")))
     out = out.where(F.col("href").startswith("http")).select(key, "href")
-    return (out if scope is None else out.where(has("href", scope, ""))).distinct()
+    out = (out if scope is None else out.where(has("href", scope, ""))).distinct()
+    return out if sites is None else out.withColumn("external_id", link_id("href", sites)).where(F.col("external_id").isNotNull())
+
+
+def link_id(href, sites=tuple(D.SITE_RULES)) -> Column:
+    """Prefixed id of a listing's link by the rule of the first site whose marker is in it; NULL without one."""
+    found = [F.when(F.lower(as_col(href)).contains(marker), F.concat(F.lit(prefix), some(F.regexp_extract(as_col(href), pattern, 1)))) for marker, pattern, prefix in sites]
+    return F.coalesce(*found)
 
 
 def ad_id(html) -> Column:
@@ -93,82 +104,98 @@ def ad_id(html) -> Column:
 
 
 # ---- nested blocks ---------------------------------------------------------------------------
-# block name -> alternatives of (tag, attribute, wanted part of the attribute value)
-BOARD_BLOCKS = {
-    "price": [("h3", "class", "price")], "params": [("li", "class", "param"), ("p", "class", "css-odhutu")],
-    "description": [("div", "data-cy", "ad_description"), ("div", "class", "description")],
-    "location": [("p", "class", "location")], "seller": [("div", "class", "user-info"), ("h4", "class", "seller")],
-    "photos": [("div", "class", "photo"), ("div", "class", "swiper")]}
-AGENCY_BLOCKS = {
-    "price": [("div", "class", "offer-view-price-title"), ("div", "class", "offer-view-price")],
-    "params": [("div", "class", "offer-view-details-row")], "description": [("div", "class", "offer-view-section-text")],
-    "street": [("div", "class", "offer-view-address")], "location": [("div", "class", "offer-view-address-line")],
-    "region": [("div", "class", "offer-view-region")], "seller": [("a", "class", "offer-view-rieltor-name")],
-    "position": [("div", "class", "offer-view-rieltor-position")], "phones": [("div", "class", "offer-view-rieltor-phones")],
-    "labels": [("div", "class", "offer-view-labels")], "agency": [("a", "class", "offer-view-rieltor-agency-link")],
-    "photos": [("div", "class", "offer-view-gallery"), ("div", "class", "offer-photo-gallery")]}
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_MATCH = {"=": lambda have, want: have == want, "*=": lambda have, want: want in have, "~=": lambda have, want: want in have.split()}
 
 
 class _Blocks(HTMLParser):
-    """Text and image sources of wanted blocks; nesting is followed, unclosed tags are tolerated."""
+    """Text and image sources of wanted blocks; nesting is followed, unclosed tags are tolerated.
+
+    A rule is (tag, attribute, comparison, value[, inner tag]); with an inner tag its elements inside the match are the blocks.
+    """
 
     def __init__(self, wanted):
         super().__init__(convert_charrefs=True)
-        self.wanted, self.depth, self.open = wanted, 0, []
+        self.wanted, self.depth, self.open, self.around = wanted, 0, [], []
         self.text = {name: [] for name in wanted}
         self.images = {name: [] for name in wanted}
+        self.page_images = []
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
         if tag == "img":
             src = attrs.get("data-src") or attrs.get("src") or ""
+            self.page_images.append(src)
             for name, _, _ in self.open:
                 self.images[name].append(src)
         if tag in _VOID:
             return
         self.depth += 1
-        for name, options in self.wanted.items():
-            if any(tag == t and part in (attrs.get(a) or "").split() or tag == t and a != "class" and part == attrs.get(a)
-                   or tag == t and a == "class" and part in (attrs.get(a) or "") and "-view" not in part for t, a, part in options):
-                self.open.append((name, self.depth, []))
+        starts = {name for name, inner, _ in self.around if inner == tag}
+        for name, rules in self.wanted.items():
+            for want, attribute, how, value, *inner in rules:
+                if want in (tag, "*") and _MATCH[how](attrs.get(attribute) or "", value):
+                    if inner:
+                        self.around.append((name, inner[0], self.depth))
+                    else:
+                        starts.add(name)
+        self.open += [(name, self.depth, []) for name in starts]
 
     def handle_endtag(self, tag):
         if tag in _VOID:
             return
         for item in [o for o in self.open if o[1] >= self.depth]:
-            self.text[item[0]].append(" ".join("".join(item[2]).split()))
+            self._take(item)
             self.open.remove(item)
+        self.around = [x for x in self.around if x[2] < self.depth]
         self.depth = max(0, self.depth - 1)
 
+    def _take(self, item):
+        self.text[item[0]].append(" ".join("".join(item[2]).split()))
+
     def handle_data(self, data):
         for _, _, parts in self.open:
             parts.append(data)
 
     def finish(self):
         self.close()
-        for name, _, parts in self.open:
-            self.text[name].append(" ".join("".join(parts).split()))
+        for item in self.open:
+            self._take(item)
         return self
 
 
-def extract_blocks(pages: DataFrame, blocks: dict, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, <block>: array<string> ..., images: array<string>) per page, parsed in Arrow batches."""
-    names = list(blocks)
-    schema = ", ".join([f"{key} {pages.schema[key].dataType.simpleString()}"] + [f"{n} array<string>" for n in names]
-                       + ["images array<string>"])
+def extract_blocks(pages: DataFrame, blocks: dict, key: str = "page_id", html: str = "html", keep=()) -> DataFrame:
+    """(key, kept columns, <block>: array<string> ..., images, page_images) per page, parsed in Arrow batches, in one pass.
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for k, page in zip(pdf[key], pdf[html]):
+    ``images`` are those of the block named photos, ``page_images`` all of the page.
+    """
+    names = [*blocks, "images", "page_images"]
+    passed = pages.select(key, *keep, html)
+    schema = T.StructType([*passed.schema.fields[:-1], *[T.StructField(n, T.ArrayType(T.StringType())) for n in names]])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {n: [] for n in names}
+            for page in batch.column(batch.num_columns - 1).to_pylist():
                 p = _Blocks(blocks)
                 p.feed(page or "")
                 p.finish()
-                rows.append([k, *[p.text[n] for n in names], p.images.get("photos", [])])
-            yield pd.DataFrame(rows, columns=[key, *names, "images"])
+                for n in blocks:
+                    found[n].append(p.text[n])
+                found["images"].append(p.images.get("photos", []))
+                found["page_images"].append(p.page_images)
+            arrays = [pa.array(found[n], pa.list_(pa.string())) for n in names]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=schema.fieldNames())
+
+    return passed.mapInArrow(parse, schema)
 
-    return pages.select(key, html).mapInPandas(parse, schema)
+
+def _read_once(pages: DataFrame, blocks: dict, key: str, html: str, rules: dict) -> DataFrame:
+    """Flat fields, the JSON-LD product and the blocks of every page from one reading of its markup."""
+    flat = [some(page_text(rx(html, pattern, group, "(?isuU)"))).alias(name) for name, (pattern, group) in rules.items()]
+    rows = pages.select(key, *flat, product_json(html).alias("ld"), html)
+    return extract_blocks(rows, blocks, key, html, [*rules, "ld"])
 
 
 def _first(name: str) -> Column:
@@ -183,10 +210,7 @@ def _param(marker: str, pattern: str, group: int = 1, unless: str | None = None)
 
 def board_fields(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Listing fields of a classified-board page: JSON-LD first, then meta tags, then labelled blocks."""
-    flat = extract_page_fields(pages, None, html, (key,))
-    ld = pages.select(key, product_json(html).alias("ld"))
-    blocks = extract_blocks(pages, BOARD_BLOCKS, key, html)
-    j = flat.join(ld, key).join(blocks, key)
+    j = _read_once(pages, D.BOARD_BLOCKS, key, html, FLAT_RULES)
     long_text = F.when(F.length(_first("description")) > F.length(F.coalesce("ld.description", "meta_description", F.lit(""))),
                        _first("description"))
     pair = r"(\d+)\s*/\s*(\d+)"
@@ -209,8 +233,7 @@ def board_fields(pages: DataFrame, key: str = "page_id", html: str = "html") ->
 
 def agency_fields(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Listing fields of an agency page from its labelled blocks, with preview-tag fallbacks."""
-    flat = extract_page_fields(pages, None, html, (key,))
-    j = flat.join(extract_blocks(pages, AGENCY_BLOCKS, key, html), key)
+    j = _read_once(pages, D.AGENCY_BLOCKS, key, html, FLAT_RULES)
     region = F.split(_first("region"), ",")
     og = F.col("og_description")
     pos = F.lower(_first("position"))
@@ -231,3 +254,50 @@ def agency_fields(pages: DataFrame, key: str = "page_id", html: str = "html") ->
         F.trim(rx(_first("phones"), r"(\+?\d[\d\s\(\)\-]{8,})")).alias("contact_phone"),
         F.when(fee.isNotNull(), F.concat(F.lit("Комісія "), fee)).when(has(labels, "без комісі"), D.COMMISSION_NONE).alias("commission"),
         photos.alias("photos"), F.coalesce("og_image", F.try_element_at(photos, F.lit(1))).alias("photo_url"))
+
+
+def _street(c) -> Column:
+    return some(F.regexp_replace(clean_text(rx(c, D.COMMERCIAL_STREET)), r"\.$", ""))
+
+
+def commercial_board_fields(pages: DataFrame, key: str = "page_id", html: str = "html", max_photos: int | None = None) -> DataFrame:
+    """Fields of a classified board's commercial page: labelled blocks first, then JSON-LD, then the heading."""
+    j = _read_once(pages, D.COMMERCIAL_BOARD_BLOCKS, key, html, {"h1": FLAT_RULES["h1"]})
+    title = F.coalesce(some(F.col("ld.name")), F.col("h1"))
+    about = F.coalesce(_first("description"), some(F.col("ld.description")))
+    place = _first("location")
+    sized = lambda v: F.lower(v).rlike("площа|м²|м2")
+    floors = F.filter("params", lambda v: ~sized(v) & F.lower(v).rlike("поверх|этаж"))
+    pair = r"(\d+)\s*/\s*(\d+)"
+    level = F.try_element_at(F.filter(floors, lambda v: v.rlike(pair)), F.lit(-1))  # the last one counts
+    pictures = F.filter("ld.image", lambda u: u.startswith("http"))
+    shown = F.array_distinct(F.filter(F.when(F.size(pictures) > 0, pictures).otherwise(F.col("page_images")), lambda u: u.startswith("http")))
+    shown = shown if max_photos is None else F.slice(shown, 1, max_photos)
+    return j.select(
+        key, title.alias("title"), about.alias("description"), F.coalesce(_first("price"), some(F.col("ld.offers.price"))).alias("price_raw"), place.alias("address"),
+        detect_by_tokens(F.concat_ws(" ", title, about, place), D.DISTRICT_TOKENS).alias("district"), F.coalesce(_street(place), _street(title)).alias("street"),
+        rx(F.try_element_at(F.filter("params", lambda v: sized(v) & v.rlike(r"\d")), F.lit(1)), r"(\d[\d.,]*)").alias("area"),
+        rx(level, pair).alias("floor"), rx(level, pair, 2).alias("floors_total"),
+        F.try_element_at(F.filter(floors, lambda v: ~v.rlike(pair)), F.lit(-1)).alias("floor_label"),
+        _first("seller").alias("contact_name"), shown.alias("photos"), F.try_element_at(shown, F.lit(1)).alias("photo_url"))
+
+
+def commercial_agency_fields(pages: DataFrame, key: str = "page_id", html: str = "html", max_photos: int | None = None) -> DataFrame:
+    """Fields of an agency's commercial page from its labelled blocks."""
+    j = extract_blocks(pages, D.COMMERCIAL_AGENCY_BLOCKS, key, html)
+    title, about, region = _first("title"), _first("description"), _first("region")
+    place = some(F.concat_ws(" ", _first("address"), region))
+    details = F.array_join("details", " ")
+    floor = r"(\d+)\s*(?:з|из|/)\s*(\d+)\s*(?:поверх|этаж)?"
+    shown = F.array_distinct(F.filter("page_images", lambda u: u.startswith("http")))
+    shown = shown if max_photos is None else F.slice(shown, 1, max_photos)
+    position = F.lower(_first("position"))
+    whole = F.concat_ws(" ", title, about, place, details)
+    return j.select(
+        key, title.alias("title"), about.alias("description"), _first("price").alias("price_raw"), place.alias("address"),
+        F.when(region.isNotNull(), detect_by_tokens(region, D.DISTRICT_TOKENS)).otherwise(detect_by_tokens(whole, D.DISTRICT_TOKENS)).alias("district"),
+        F.coalesce(_street(place), _street(title)).alias("street"), rx(details, r"(\d[\d.,]*)\s*(?:м²|м2|m2)").alias("area"),
+        rx(details, floor).alias("floor"), rx(details, floor, 2).alias("floors_total"), _first("name").alias("contact_name"),
+        F.when(_first("agency").isNotNull(), "agency").when(position.contains("власник"), "owner").when(position.isNotNull(), "agent").alias("advertiser_type"),
+        _first("agency").alias("agency_name"), F.transform(F.regexp_extract_all(F.coalesce(F.array_join("phones", " "), F.lit("")), F.lit(r"(\+?\d[\d\s()\-]{8,})"), 1), lambda p: F.trim(p)).alias("phones"),
+        shown.alias("photos"), F.try_element_at(shown, F.lit(1)).alias("photo_url"))
