@@ -1,4 +1,5 @@
 """Queries for generated copy, whole-record normalization, payloads, grids and pages."""
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from rooftree.operators import normalize as N
 from rooftree.operators import values as V
 from rooftree.plans.bindings import cte
 from rooftree.plans.queries_snapshots import TITLE
+from rooftree.plans.queries_text import CLEANED, SENTENCES, _paragraphs, _unescaped
 from rooftree.plans.registry import query
 from rooftree.session import scratch_dir
 from rooftree.sources import grids, pages as P, payloads
@@ -113,9 +115,19 @@ def _(t):
     return t.listings.select("id", C.clean_title(F.when(F.col("rooms").isNull(), F.col("title")).otherwise(title), "id", "Agency").alias("shown"))
 
 
-@query("agency_description")
+# word edges next to letters of any script
+SENSITIVE = re.sub(r"(?<=[a-z])\\b", r"(?:$|[^\\p{L}\\p{N}_])", re.sub(r"\\b(?=\w)", r"(?:^|[^\\p{L}\\p{N}_])", D.SENSITIVE_SENTENCE)).replace("\\w", "[\\p{L}\\p{N}_]")
+SOURCE_TEXT = "COALESCE(NULLIF(ai_description, ''), description, '')"
+PUBLISHED = _paragraphs("string_split_regex(regexp_replace(" + _unescaped(SOURCE_TEXT) + r", '<[^>]+>', ' ', 'g'), '\n{2,}')",
+                        "list_filter(" + SENTENCES(CLEANED("p")) + f", lambda s: s <> '' AND NOT regexp_matches(s, '(?i){SENSITIVE}'))")
+ORDINARY = lambda e: f"NULLIF(trim({e}), '')"
+
+
+@query("agency_description", L + f"""SELECT id, concat_ws(chr(10) || chr(10), 'Представляємо ретельно відібрану пропозицію Agency — ' || CASE catalog WHEN 'commercial' THEN 'об’єкт' WHEN 'houses' THEN 'будинок' ELSE 'квартира' END ||
+ ' у локації ' || COALESCE({ORDINARY('street')}, {ORDINARY('district')}, {ORDINARY('city')}, 'Києві') || '.' || CASE WHEN area IS NOT NULL THEN ' Площа — ' || CAST(area AS VARCHAR) || ' м².' ELSE '' END, NULLIF({PUBLISHED}, ''),
+ 'Зверніть увагу на деталі нижче: ми залишили тільки підтверджені характеристики, щоб ви могли об’єктивно оцінити простір і його потенціал.') AS text FROM listings""")
 def _(t):
-    """Opening, publishable source text and closing per listing (lookbehind splitting: no SQL form)."""
+    """Opening, publishable source text and closing per listing."""
     rows = t.listings.select("id", "catalog", "street", "district", "city", "area", F.col("area").alias("area_total_m2"), "ai_description", "description")
     return rows.select("id", C.agency_description(C.fields_of(rows), "Agency").alias("text"))
 
