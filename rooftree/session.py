@@ -32,6 +32,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="rooftree-")
 
 
+_STAGES: list[str] = []  # what this driver has staged
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder once and go on from there.
 
@@ -40,4 +43,14 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGES.append(path)
     return spark.read.parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Remove all staged results of this driver, once the results that read them are written; their number."""
+    jvm, done = spark.sparkContext._jvm, 0
+    while _STAGES:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        done += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return done

@@ -1,5 +1,6 @@
 """Skew-safe primitives against plain windows and brute force."""
 import random
+from pathlib import Path
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -192,3 +193,11 @@ def test_ordinal_without_groups_sums_offsets_in_parts(spark):
     got = skew._offsets(df.groupBy(F.floor(F.col("id") / 2).alias("__slice")).agg(F.count("*").alias("__cnt")), [], fan=50)
     rows = sorted((r["__slice"], r["__offset"]) for r in got.collect())
     assert [o for _, o in rows] == list(range(len(rows)))
+
+
+def test_staged_results_can_be_removed(spark):
+    from rooftree import session
+    session.drop_stages(spark)
+    path = session.staged(spark.range(3)).inputFiles()[0]
+    assert session.drop_stages(spark) == 1 and session.drop_stages(spark) == 0
+    assert not Path(path.removeprefix("file://")).exists()
