@@ -164,18 +164,28 @@ def _sort_directly(t: np.ndarray, words: np.ndarray, which: np.ndarray, depth: i
         done += _SYMBOLS
 
 
-def suffix_array(t: np.ndarray, depth: int = LENGTH, words: np.ndarray | None = None) -> np.ndarray:
-    """Suffixes of ``t`` (uint16 symbols, each segment ended by the sentinel 0) ordered by their first ``depth`` symbols."""
+def suffix_array(t: np.ndarray, depth: int = LENGTH, words: np.ndarray | None = None, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes of ``t`` (uint16 symbols, each segment ended by the sentinel 0) ordered by their first ``depth`` symbols.
+
+    ``wanted`` marks the first places of each segment that the caller asks for.  A suffix is induced from its successor, so
+    beside them only those up to the segment's next directly sorted suffix take part.
+    """
     n = len(t)
     change = np.append(t[1:] != t[:-1], True)
     reach = np.minimum.accumulate(np.where(change, np.arange(n), n)[::-1])[::-1]  # last position of the run of equal symbols
     smaller = t[reach] < t[np.minimum(reach + 1, n - 1)]  # smaller than its successor: sorted directly
     smaller |= t == 0
-    direct = _sort_directly(t, _words(t) if words is None else words, np.flatnonzero(smaller & (t != 0)), depth)
-    size = np.bincount(t, minlength=258)
+    use = np.ones(n, bool)
+    if wanted is not None:
+        direct = np.flatnonzero(smaller)
+        use = wanted.copy()
+        beyond = np.flatnonzero(~wanted & np.append(False, wanted[:-1]))  # the place behind the wanted ones of each segment
+        use[concat_ranges(beyond, direct[np.searchsorted(direct, beyond)] - beyond + 1)] = True
+    direct = _sort_directly(t, _words(t) if words is None else words, np.flatnonzero(smaller & use & (t != 0)), depth)
+    size = np.bincount(t[use], minlength=258)
     base = np.concatenate([[0], np.cumsum(size)])
-    out = np.empty(n, np.int64)
-    out[:size[0]] = np.flatnonzero(t == 0)
+    out = np.empty(base[-1], np.int64)
+    out[:size[0]] = np.flatnonzero((t == 0) & use)
     tails = np.bincount(t[direct], minlength=258)
     at = np.concatenate([[0], np.cumsum(tails)])
     symbols = np.flatnonzero(size)
@@ -188,7 +198,7 @@ def suffix_array(t: np.ndarray, depth: int = LENGTH, words: np.ndarray | None =
         """Put the predecessors of ``found`` that are larger than their successor into their buckets; own bucket's come back."""
         before = found - 1
         before = before[before >= 0]
-        before = before[~smaller[before]]
+        before = before[use[before] & ~smaller[before]]
         bucket = t[before]
         ranked = np.argsort(bucket, kind="stable")
         before, bucket = before[ranked], bucket[ranked]
@@ -237,7 +247,7 @@ def repeated_windows(segments: list[np.ndarray], windows: np.ndarray, length: in
     valid = np.zeros(len(t), bool)
     valid[concat_ranges(start[:-1], windows)] = True
     words = _words(t)
-    order = suffix_array(t, length, words)
+    order = suffix_array(t, length, words, valid)
     order = order[valid[order]]
     hit = np.zeros(len(t), bool)
     if len(order) > 1:
