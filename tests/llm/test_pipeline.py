@@ -124,7 +124,7 @@ def test_quality_stage_keeps_what_the_classifier_does_not_reject(spark, docs):
     assert corpus_pipeline.quality(spark, docs, FOLDER).columns == docs.columns
 
 
-def test_ftrl_and_scores_equal_a_plain_loop():
+def test_scores_equal_a_plain_dot_product():
     texts = ["good words here now", "bad $$$ %%% words", "good calm text", "bad ### words ###"] * 6
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(b) for b in raw])])
@@ -135,6 +135,33 @@ def test_ftrl_and_scores_equal_a_plain_loop():
     assert np.allclose(fast, [1 / (1 + np.exp(-d)) for d in dots])
 
 
+def test_training_equals_plain_follow_the_regularised_leader():
+    rng = random.Random(8)
+    examples = []
+    for _ in range(30):
+        at = rng.sample(range(12), 4)
+        examples.append((np.array(at), np.array([rng.random() for _ in at]), float(at[0] % 2)))
+    z, n = [0.0] * 12, [0.0] * 12
+
+    def weight(i):
+        if abs(z[i]) <= classifier.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * classifier.L1) / ((classifier.BETA + n[i] ** 0.5) / classifier.ALPHA + classifier.L2)
+    order = np.random.RandomState(5)
+    for _ in range(3):
+        for e in order.permutation(len(examples)):
+            at, value, label = examples[e]
+            w = [weight(i) for i in at]
+            p = 1 / (1 + np.exp(-sum(x * v for x, v in zip(w, value))))
+            for i, x, v in zip(at, w, value):
+                g = (p - label) * v
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / classifier.ALPHA
+                z[i] += g - sigma * x
+                n[i] += g * g
+    assert np.allclose(classifier.ftrl(examples, 12, 3), [weight(i) for i in range(12)])
+
+
 @here
 def test_run_applies_the_stages_in_order(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "exact dedup", "near dedup", "repeated passages", "packing"]
