@@ -12,10 +12,9 @@ L = cte("listings")
 LI = cte("listings", "listings_in")
 
 
-@query("join_raw", """SELECT p.page_id, p.url, d.lang, length(d.text) AS chars FROM pages p JOIN documents d ON d.doc_id = p.page_id""")
+@query("join_raw", cte("listings", "publications") + """SELECT l.id AS listing_id, l.url, p.status, p.n FROM listings l JOIN publications p ON p.listing_id = l.id""")
 def _(t):
-    docs = t.documents.select(F.col("doc_id").alias("page_id"), "lang", F.length("text").cast("bigint").alias("chars"))
-    return J.join_raw(t.pages.select("page_id", "url"), docs, ("page_id",), ("lang", "chars"))
+    return J.join_raw(t.listings.select(F.col("id").alias("listing_id"), "url"), t.publications.select("listing_id", "status", "n"), ("listing_id",), ("status", "n"))
 
 
 LEDGER = cte("listings", "checks", led="SELECT listing_id AS id, max(checked_at) AS attempted_at FROM checks GROUP BY listing_id")

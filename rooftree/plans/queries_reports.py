@@ -227,11 +227,13 @@ def _(t):
     return R.intake_stats(t.listings.withColumn("outcome", outcome))
 
 
-@query("image_shortfall", """SELECT page_id, expected, actual FROM (SELECT p.page_id, CAST(d.n_chars % 4 AS INT) AS expected,
- CAST(len(string_split(p.html, '<p')) - 1 AS INT) AS actual FROM pages p JOIN documents d ON d.doc_id = p.page_id) WHERE actual < expected""")
+@query("image_shortfall", cte("photos") + """SELECT listing_id AS page_id, CAST(count(*) AS INTEGER) AS expected, CAST(count(*) FILTER (url LIKE 'https%') AS INTEGER) AS actual FROM photos
+ GROUP BY 1 HAVING count(*) FILTER (url LIKE 'https%') < count(*)""")
 def _(t):
-    want = t.documents.select(F.col("doc_id").alias("page_id"), (F.col("n_chars") % 4).cast("int").alias("expected"))
-    pages = t.pages.select("page_id", F.replace("html", F.lit("<p"), F.lit("<img")).alias("html"))
+    """Every listing's page shows its secure photos; all of its photos are expected."""
+    want = t.photos.groupBy(F.col("listing_id").alias("page_id")).agg(F.count(F.lit(1)).cast("int").alias("expected"))
+    image = F.when(F.col("url").startswith("https"), F.concat(F.lit('<p><img src="'), F.col("url"), F.lit('"></p>')))
+    pages = t.photos.groupBy(F.col("listing_id").alias("page_id")).agg(F.array_join(F.collect_list(image), "").alias("html"))
     return R.shortfall(want, pages)
 
 
