@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rooftree.functions.text import cell_equal, is_blank
-from rooftree.operators.dedupe import first_occurrence
-from rooftree.operators.skew import per_group_top
+from rooftree.operators.skew import attach_lookup, per_group_top
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, key: str, pos: str) -> DataFrame:
@@ -21,13 +20,12 @@ def reconcile(expected: DataFrame, actual: DataFrame, key: str, pos: str) -> Dat
     named = actual.where(~is_blank(key)).select(F.trim(F.col(key).cast("string")).alias(key), pos)
     orphan = actual.where(is_blank(key) & anything).select(F.lit(None).cast("string").alias(key), pos,
                                                            F.lit("orphan").alias("action"))
-    marked = first_occurrence(named, key, pos)
-    repeats = marked.where(~F.col("is_first")).select(key, pos, F.lit("duplicate").alias("action"))
+    firsts = named.groupBy(key).agg(F.min(pos).alias("__first"))
     want = expected.select(F.trim(F.col(key).cast("string")).alias(key)).distinct().withColumn("__want", F.lit(1))
-    firsts = marked.where("is_first").select(key, pos)
-    joined = firsts.join(want, key, "full_outer")
-    action = F.when(F.col(pos).isNull(), "append").when(F.col("__want").isNull(), "stale").otherwise("keep")
-    return joined.select(key, pos, action.alias("action")).unionByName(repeats).unionByName(orphan)
+    marked = attach_lookup(named, firsts.join(want, key, "left"), key)
+    action = F.when(F.col(pos) > F.col("__first"), "duplicate").when(F.col("__want").isNull(), "stale").otherwise("keep")
+    absent = want.join(firsts, key, "left_anti").select(key, F.lit(None).cast(actual.schema[pos].dataType).alias(pos), F.lit("append").alias("action"))
+    return marked.select(key, pos, action.alias("action")).unionByName(absent).unionByName(orphan)
 
 
 def _pairs(expected: DataFrame, actual: DataFrame, key: str, how: str) -> DataFrame:

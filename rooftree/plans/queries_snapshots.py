@@ -261,14 +261,26 @@ def _(t):
 COPY_ROWS = "SELECT CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS id, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS pos FROM lineitem"
 
 
-@query("reconcile", f"""WITH c AS ({COPY_ROWS}), n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS rn FROM c WHERE id IS NOT NULL), w AS (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer)
-SELECT action, count(*) AS n FROM (SELECT CASE WHEN n.id IS NULL THEN 'append' WHEN w.id IS NULL THEN 'stale' ELSE 'keep' END AS action FROM (SELECT * FROM n WHERE rn = 1) n FULL JOIN w USING (id)
- UNION ALL SELECT 'duplicate' FROM n WHERE rn > 1 UNION ALL SELECT 'orphan' FROM c WHERE id IS NULL) GROUP BY 1""")
-def _(t):
+ACTIONS = f"""WITH c AS ({COPY_ROWS}), n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS rn FROM c WHERE id IS NOT NULL), w AS (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer),
+a AS (SELECT id, pos, CASE WHEN n.id IS NULL THEN 'append' WHEN w.id IS NULL THEN 'stale' ELSE 'keep' END AS action FROM (SELECT * FROM n WHERE rn = 1) n FULL JOIN w USING (id)
+ UNION ALL SELECT id, pos, 'duplicate' FROM n WHERE rn > 1 UNION ALL SELECT id, pos, 'orphan' FROM c WHERE id IS NULL)
+"""
+
+
+def _actions(t):
     copy = t.read("lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_partkey").cast("string")).alias("id"),
-                             F.expr("(((CAST(l_orderkey AS DECIMAL(12, 0)) * 10 + l_linenumber) * 100000000 + l_partkey) * 100000000 + l_suppkey) * 100000 + datediff(l_shipdate, DATE '1970-01-01')").alias("pos"), "l_quantity")
-    out = RC.reconcile(t.customer.select(F.col("c_custkey").alias("id")), copy, "id", "pos")
-    return out.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+                                     F.expr("(((CAST(l_orderkey AS DECIMAL(12, 0)) * 10 + l_linenumber) * 100000000 + l_partkey) * 100000000 + l_suppkey) * 100000 + datediff(l_shipdate, DATE '1970-01-01')").alias("pos"), "l_quantity")
+    return RC.reconcile(t.customer.select(F.col("c_custkey").alias("id")), copy, "id", "pos")
+
+
+@query("reconcile", ACTIONS + "SELECT action, count(*) AS n FROM a GROUP BY 1")
+def _(t):
+    return _actions(t).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("reconcile_rows", ACTIONS + """SELECT id, action, CAST((((CAST(pos[1] AS HUGEINT) * 10 + pos[2]) * 100000000 + pos[3]) * 100000000 + pos[4]) * 100000 + date_diff('day', DATE '1970-01-01', pos[5]) AS VARCHAR) AS pos FROM a""")
+def _(t):
+    return _actions(t).select("id", "action", F.col("pos").cast("string").alias("pos"))
 
 
 CELLS = {"title": "COALESCE(trim(a.title), '') = COALESCE(trim(b.title), '')", "price": "COALESCE(CAST(a.price_uah AS BIGINT), -1) = COALESCE(CAST(b.price_uah AS BIGINT), -1)",
